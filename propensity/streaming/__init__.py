@@ -1,0 +1,6 @@
+"""Streaming.
+
+The workflow being rebuilt is pure batch: it opens no stream, uses no
+watermark, window or state.  Nothing is implemented here on purpose; batch
+scoring of new rows is ``propensity.operators.score.score``.
+"""
