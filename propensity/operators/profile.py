@@ -1,13 +1,137 @@
 """Exploration operators: filters, region roll-ups, summaries, shares,
-correlations, histograms and box summaries.  All run as Spark aggregations;
-only already-aggregated, bounded results are small."""
+correlations, histograms and box summaries.
+
+All of them are Spark aggregations over the whole table.  Results are
+aggregated (bounded by the number of columns, categories, bins or regions);
+nothing row-level goes to the driver.  Scalars a row needs (min, max, group
+sizes) arrive as scalar subqueries, never through an unpartitioned window.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .. import schema as S
+from ..functions.exact import exact_mean, exact_sum
+
+NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
+                 T.DoubleType, T.DecimalType)
+
+
+def premium_by_age(df: DataFrame, min_premium: float = 500) -> DataFrame:
+    """(annual_premium, age) where annual_premium > min_premium."""
+    return (df.where(F.col("Annual_Premium") > F.lit(min_premium))
+            .select(F.col("Annual_Premium").alias("annual_premium"), F.col("Age").alias("age")))
+
+
+def numeric_columns(df: DataFrame, exclude=S.DESCRIBE_EXCLUDE) -> list[str]:
+    """Numeric columns not in ``exclude`` (schema only; no data touched)."""
+    return [f.name for f in df.schema.fields
+            if f.name not in exclude and isinstance(f.dataType, NUMERIC_TYPES)]
+
+
+def describe_numeric(df: DataFrame, cols: list[str] | None = None, digits: int = 6) -> DataFrame:
+    """A3: count, mean, sample stddev, min, max per column, one pass, long form
+    (feature, count, mean, stddev, min, max) with typed doubles."""
+    cols = cols if cols is not None else numeric_columns(df)
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"{c}__n"), F.round(exact_mean(x), digits).alias(f"{c}__mean"),
+                 F.round(F.stddev_samp(x), digits).alias(f"{c}__sd"),
+                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+    wide = df.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"{c}__n").alias("count"),
+                              F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__sd").alias("stddev"),
+                              F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max"))
+                     for c in cols])
+    return wide.select(F.inline(rows))
+
+
+def class_balance(df: DataFrame, label: str = S.LABEL, key: str | None = S.KEY) -> DataFrame:
+    """A2: rows per label value; counts non-null ``key`` (Python form) or all
+    rows when ``key`` is None (R form)."""
+    n = F.count(F.col(key)) if key else F.count(F.lit(1))
+    return df.groupBy(label).agg(n.alias("n"))
+
+
+def count_where(df: DataFrame, cond, name: str = "n") -> DataFrame:
+    """One-row filtered count (``count_if``)."""
+    return df.agg(F.count_if(cond).alias(name))
+
+
+def to_long(df: DataFrame, cols: list[str], name: str = "name", value: str = "value") -> DataFrame:
+    """Wide -> long, every value cast to string first."""
+    return (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+            .unpivot([], cols, name, value))
+
+
+def category_share(df: DataFrame, cols: list[str] = S.SHARE_COLUMNS,
+                   mode: str = "percent1") -> DataFrame:
+    """A4 (+W1, X8): frequency and share of each value of each column, all
+    columns in one job.
 
-from ..functions.exact import exact_sum
+    ``percent1``: NULLs dropped, share in percent rounded to 1 decimal, label
+    text like ``'12.3%'``.  ``fraction2``: NULLs kept as a group, fraction
+    rounded to 2 decimals, label like ``'0.12'``.  The window runs on the
+    aggregated (name, value) rows only."""
+    long = to_long(df, cols)
+    if mode == "percent1":
+        long = long.where(F.col("value").isNotNull())
+    elif mode != "fraction2":
+        raise ValueError("mode must be 'percent1' or 'fraction2'")
+    counts = long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy("name"))
+    if mode == "percent1":
+        prc = F.round(F.lit(100.0) * F.col("n").cast("double") / total.cast("double"), 1)
+        label = F.format_string("%.1f%%", F.col("prc"))
+    else:
+        prc = F.round(F.col("n").cast("double") / total.cast("double"), 2)
+        label = F.format_string("%.2f", F.col("prc"))
+    return counts.withColumn("prc", prc).withColumn("label", label)
+
+
+def correlation_long(df: DataFrame, cols: list[str] | None = None, digits: int | None = 2) -> DataFrame:
+    """Pearson correlation of every column pair in one aggregation pass,
+    long form (col1, col2, value).  A constant column gives NULL instead of a
+    rounding residue or NaN."""
+    cols = cols if cols is not None else numeric_columns(df, exclude=[])
+    aggs = []
+    for c in cols:
+        aggs += [F.min(F.col(c).cast("double")).alias(f"{c}__lo"),
+                 F.max(F.col(c).cast("double")).alias(f"{c}__hi")]
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    for i, (a, b) in enumerate(pairs):
+        aggs.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}"))
+    wide = df.agg(*aggs)
+    entries = []
+    for i, (a, b) in enumerate(pairs):
+        const = (F.col(f"{a}__lo") == F.col(f"{a}__hi")) | (F.col(f"{b}__lo") == F.col(f"{b}__hi"))
+        v = F.when(const, F.lit(None).cast("double")).otherwise(F.col(f"p{i}"))
+        if digits is not None:
+            v = F.round(v, digits)
+        entries.append(F.struct(F.lit(a).alias("col1"), F.lit(b).alias("col2"), v.alias("value")))
+        if a != b:
+            entries.append(F.struct(F.lit(b).alias("col1"), F.lit(a).alias("col2"), v.alias("value")))
+    return wide.select(F.inline(F.array(*entries)))
+
+
+def histogram_by(df: DataFrame, col: str, label: str = S.LABEL, bins: int = 30) -> DataFrame:
+    """A10: equal-width histogram of ``col`` per label over the global range.
+    bin = least(floor((x - lo) * bins / (hi - lo)), bins - 1); all values fall
+    in bin 0 when hi = lo.  NULL values are skipped."""
+    x = F.col(col).cast("double")
+    rng = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
+    lo, hi = rng.select("lo").scalar(), rng.select("hi").scalar()
+    b = F.when(hi == lo, F.lit(0)).otherwise(
+        F.least(F.floor((x - lo) * F.lit(float(bins)) / (hi - lo)), F.lit(bins - 1)))
+    counts = (df.where(x.isNotNull()).groupBy(F.col(label), b.cast("int").alias("bin"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    width = (hi - lo) / F.lit(float(bins))
+    return counts.select(label, "bin", (lo + F.col("bin") * width).alias("bin_lo"),
+                         (lo + (F.col("bin") + 1) * width).alias("bin_hi"), "n")
 
 
 def region_opportunity(df: DataFrame) -> DataFrame:
@@ -22,3 +146,69 @@ def region_opportunity(df: DataFrame) -> DataFrame:
         F.sum("Claims_Amount").cast("bigint").alias("total_claims_amount"),
         F.sum("Claims_Num").cast("bigint").alias("total_claims_count"),
     )
+
+
+def regions_ranked(regions: DataFrame) -> DataFrame:
+    """O2: regions by prospect count (region code breaks ties)."""
+    return regions.select("region_code", "region_prospects").orderBy("region_prospects", "region_code")
+
+
+def region_bubble(regions: DataFrame) -> DataFrame:
+    """Chart frame for the region bubble plot: log10 of the claims count
+    (NULL when the count is 0), premium and prospects."""
+    cnt = F.col("total_claims_count")
+    return regions.select(
+        "region_code", "region_prospects", "total_annual_premium", "total_claims_count",
+        # 9 decimals: log10 implementations may differ in the last bit.
+        F.round(F.when(cnt > 0, F.log10(cnt.cast("double"))), 9).alias("log10_claims_count"))
+
+
+def feature_by_label(df: DataFrame, feature: str, label: str = S.LABEL) -> DataFrame:
+    """P5: the chosen feature renamed to ``x`` and the label as text."""
+    return df.select(F.col(feature).alias("x"), F.col(label).cast("string").alias(label))
+
+
+def preview(df: DataFrame, n: int = 100, order: list[str] | None = None) -> DataFrame:
+    """Bounded preview; with ``order`` the rows are a total-order top-n."""
+    return (df.orderBy(*order) if order else df).limit(n)
+
+
+def box_by(df: DataFrame, col: str, label: str = S.LABEL) -> DataFrame:
+    """Box-plot summary per label: exact quartiles (linear interpolation
+    between order statistics, like ``quantile_cont``), 1.5 IQR whiskers and
+    the outlier count.
+
+    Exact quantiles come from the distributed contiguous index (range
+    partitioning on (label, x)), not from a collect-all percentile aggregate,
+    so a class holding most rows is still spread over many tasks."""
+    from .sampling import SmallLookup, dense_index, group_sizes
+
+    base = df.select(F.col(label), F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    idx = dense_index(base, [label], ["_x"], name="_i")
+    m = group_sizes(idx, [label])("_m")
+    probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    picks, conds = [], []
+    for name, p in probs.items():
+        h = F.lit(p) * (m - F.lit(1)).cast("double")
+        lo_i, hi_i = F.floor(h), F.ceil(h)
+        conds += [F.col("_i") == lo_i, F.col("_i") == hi_i]
+        lo_v = F.max(F.when(F.col("_i") == lo_i, F.col("_x")))
+        hi_v = F.max(F.when(F.col("_i") == hi_i, F.col("_x")))
+        picks.append((lo_v + (F.max(h) - F.max(lo_i)) * (hi_v - lo_v)).alias(name))
+    keep = conds[0]
+    for cnd in conds[1:]:
+        keep = keep | cnd
+    # At most 6 rows per label survive the filter.
+    quart = SmallLookup(idx.where(keep).groupBy(label).agg(*picks), [label],
+                        {k: "double" for k in probs}, "box_by")
+    q1, q3 = quart("q1"), quart("q3")
+    iqr = q3 - q1
+    lf, uf = q1 - F.lit(1.5) * iqr, q3 + F.lit(1.5) * iqr
+    x = F.col("_x")
+    return (idx.withColumns({"_lf": lf, "_uf": uf}).groupBy(label).agg(
+        F.count(F.lit(1)).alias("n"), F.min(x).alias("min"),
+        F.first(q1).alias("q1"), F.first(quart("median")).alias("median"),
+        F.first(q3).alias("q3"), F.max(x).alias("max"),
+        F.min(F.when(x >= F.col("_lf"), x)).alias("whisker_low"),
+        F.max(F.when(x <= F.col("_uf"), x)).alias("whisker_high"),
+        F.count_if((x < F.col("_lf")) | (x > F.col("_uf"))).alias("outliers")))

@@ -45,25 +45,42 @@ from (select o_orderkey as id,
 
 _TWO_PI = repr(2 * math.pi)
 
-PREPARED = f"""
+
+def prepared_sql(variant: str = "python") -> str:
+    """G1-G3 over the raw prospects.  ``python``: lognormal draw, low amounts
+    zeroed, double premium.  ``r``: normal draw, amounts floored at the
+    cutoff, premium truncated to int."""
+    draw = f"1.75*sqrt(-2*ln({u('id', 'c1')}))*cos({_TWO_PI}*{u('id', 'c2')})"
+    if variant == "python":
+        draw, kept, premium = f"exp({draw})", "(case when s<10 then 0.0 else s end)", \
+            "Annual_Premium/(mp/2080.0)"
+    else:
+        kept, premium = "greatest(s, 10.0)", "cast(trunc(Annual_Premium/(mp/2080.0)) as int)"
+    return f"""
 with p as ({RAW}),
-a as (select *, exp(1.75*sqrt(-2*ln({u('id', 'c1')}))*cos({_TWO_PI}*{u('id', 'c2')})) as ln0 from p),
+a as (select *, {draw} as ln0 from p),
 b as (select *, ln0*(120000.0/(select max(ln0) from a)) as s,
              (select {exact_sum('Annual_Premium')}/count(Annual_Premium) from a) as mp from a),
-d as (select *, (case when s<10 then 0.0 else s end)*(0.8+0.4*{u('id', 'c3')})
+d as (select *, {kept}*(0.8+0.4*{u('id', 'c3')})
                 *(case when Response=1 then 1.8+1.2*{u('id', 'c4')} else 1.0 end) as amt from b),
 e as (select *, cast(floor(round(amt,6)) as int) as Claims_Amount from d),
 f as (select *, case when Claims_Amount>0 then (Claims_Amount/40.0)*({1.0 / 3!r}+({3 - 1.0 / 3!r})*{u('id', 'c5')}) end as r from e),
 g as (select *, (select min(r) from f) as mn from f)
 select id, Gender, Age, Driving_License, Region_Code, Previously_Insured, Vehicle_Age, Vehicle_Damage,
-       Annual_Premium/(mp/2080.0) as Annual_Premium, Policy_Sales_Channel, Vintage, Response, Claims_Amount,
+       {premium} as Annual_Premium, Policy_Sales_Channel, Vintage, Response, Claims_Amount,
        case when Claims_Amount>0 then cast(floor(round(greatest(r-mn,1.0),6)) as int) else 0 end as Claims_Num
 from g
 """
 
 
+PREPARED = prepared_sql("python")
+
+
 def with_prepared(body: str) -> str:
     """Wrap a query over relation ``t`` (the prepared table)."""
+    body = body.strip()
+    if body.lower().startswith("with "):
+        return f"with t as ({PREPARED}),\n{body[5:]}"
     return f"with t as ({PREPARED})\n{body}"
 
 
@@ -75,3 +92,185 @@ select Region_Code as region_code,
        cast(sum(Claims_Num) as bigint) as total_claims_count
 from t group by Region_Code
 """
+
+BASE_COLS = ("id, Gender, Age, Driving_License, Region_Code, Previously_Insured, Vehicle_Age, "
+             "Vehicle_Damage, Annual_Premium, Policy_Sales_Channel, Vintage, Response, "
+             "Claims_Amount, Claims_Num")
+
+PREMIUM_BY_AGE = "select Annual_Premium as annual_premium, Age as age from t where Annual_Premium > 500"
+
+REGIONS_RANKED = f"select region_code, region_prospects from ({REGION_AGG}) order by region_prospects, region_code"
+
+REGION_BUBBLE = f"""
+select region_code, region_prospects, total_annual_premium, total_claims_count,
+       round(case when total_claims_count > 0 then log10(cast(total_claims_count as double)) end, 9) as log10_claims_count
+from ({REGION_AGG})
+"""
+
+
+def describe(cols: list[str]) -> str:
+    parts = []
+    for c in cols:
+        x = f"cast({c} as double)"
+        parts.append(
+            f"select '{c}' as feature, count({x}) as count, "
+            f"round({exact_sum(x)}/count({x}), 6) as mean, round(stddev_samp({x}), 6) as stddev, "
+            f"min({x}) as min, max({x}) as max from t")
+    return "\nunion all\n".join(parts)
+
+
+def long_form(cols: list[str]) -> str:
+    return "\nunion all\n".join(
+        f"select '{c}' as name, cast({c} as varchar) as value from t" for c in cols)
+
+
+def category_share(cols: list[str], mode: str = "percent1") -> str:
+    if mode == "percent1":
+        where = "where value is not null"
+        prc = "round(100.0 * cast(n as double) / cast(sum(n) over (partition by name) as double), 1)"
+        label = "printf('%.1f%%', prc)"
+    else:
+        where = ""
+        prc = "round(cast(n as double) / cast(sum(n) over (partition by name) as double), 2)"
+        label = "printf('%.2f', prc)"
+    return f"""
+with l as ({long_form(cols)}),
+c as (select name, value, count(*) as n from l {where} group by name, value),
+p as (select name, value, n, {prc} as prc from c)
+select name, value, n, prc, {label} as label from p
+"""
+
+
+def correlation(cols: list[str], digits: int = 2) -> str:
+    aggs = []
+    for c in cols:
+        aggs += [f"min(cast({c} as double)) as {c}__lo", f"max(cast({c} as double)) as {c}__hi"]
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    for i, (a, b) in enumerate(pairs):
+        aggs.append(f"corr(cast({a} as double), cast({b} as double)) as p{i}")
+    rows = []
+    for i, (a, b) in enumerate(pairs):
+        v = (f"round(case when {a}__lo = {a}__hi or {b}__lo = {b}__hi then null "
+             f"else p{i} end, {digits})")
+        rows.append(f"select '{a}' as col1, '{b}' as col2, {v} as value from w")
+        if a != b:
+            rows.append(f"select '{b}' as col1, '{a}' as col2, {v} as value from w")
+    return f"with w as (select {', '.join(aggs)} from t)\n" + "\nunion all\n".join(rows)
+
+
+def histogram(col: str, label: str = "Response", bins: int = 30) -> str:
+    x = f"cast({col} as double)"
+    return f"""
+with r as (select min({x}) as lo, max({x}) as hi from t),
+h as (select {label}, cast(case when hi = lo then 0
+                         else least(floor(({x} - lo) * {float(bins)!r} / (hi - lo)), {bins - 1}) end as int) as bin,
+             count(*) as n
+      from t, r where {col} is not null group by all)
+select {label}, bin, lo + bin * ((hi - lo) / {float(bins)!r}) as bin_lo,
+       lo + (bin + 1) * ((hi - lo) / {float(bins)!r}) as bin_hi, n
+from h, r
+"""
+
+
+def box(col: str, label: str = "Response") -> str:
+    x = f"cast({col} as double)"
+    return f"""
+with b as (select {label}, {x} as x from t where {col} is not null),
+q as (select {label}, quantile_cont(x, 0.25) as q1, quantile_cont(x, 0.5) as median,
+             quantile_cont(x, 0.75) as q3 from b group by {label}),
+f as (select *, q1 - 1.5 * (q3 - q1) as lf, q3 + 1.5 * (q3 - q1) as uf from q)
+select b.{label}, count(*) as n, min(x) as min, any_value(q1) as q1, any_value(median) as median,
+       any_value(q3) as q3, max(x) as max,
+       min(case when x >= lf then x end) as whisker_low, max(case when x <= uf then x end) as whisker_high,
+       count_if(x < lf or x > uf) as outliers
+from b join f on b.{label} is not distinct from f.{label} group by b.{label}
+"""
+
+
+ENCODE_SELECT = """
+case Gender when 'Male' then 0 when 'Female' then 1 else error('unseen Gender') end as x_Gender,
+case Vehicle_Age when '< 1 Year' then 0 when '1-2 Year' then 1 when '> 2 Years' then 2
+     else error('unseen Vehicle_Age') end as x_Vehicle_Age,
+case Vehicle_Damage when 'No' then 0 when 'Yes' then 1 else error('unseen Vehicle_Damage') end as x_Vehicle_Damage
+"""
+
+ENCODED = f"select *, {ENCODE_SELECT} from t"
+
+
+def factor_codes(cols: list[str]) -> str:
+    sel, joins = [], []
+    for i, c in enumerate(cols):
+        joins.append(f"left join (select v, cast(row_number() over (order by v) as int) as code "
+                     f"from (select distinct cast({c} as varchar) as v from t where {c} is not null)) f{i} "
+                     f"on cast(t.{c} as varchar) = f{i}.v")
+        sel.append(f"f{i}.code as {c}")
+    keep = [c.strip() for c in BASE_COLS.split(",") if c.strip() not in cols]
+    return f"select {', '.join('t.' + k for k in keep)}, {', '.join(sel)} from t " + " ".join(joins)
+
+
+def rebalanced_cte(salt: str = "boot") -> str:
+    """CTE ``rb``: bootstrap of each class to count(Response = 0) rows."""
+    return f"""
+i as (select *, row_number() over (partition by Response order by id) - 1 as _k
+      from t where Response is not null),
+m as (select Response, count(*) as _m from i group by Response),
+nn as (select cast(count_if(Response = 0) as bigint) as _n from i),
+d as (select Response, _m, unnest(range(0, (select _n from nn))) as _i from m),
+c as (select Response, cast(floor({u("concat(Response, '/', _i)", salt)} * _m) as bigint) as _k,
+             count(*) as _c from d group by all),
+rb as (select {', '.join('i.' + c.strip() for c in BASE_COLS.split(','))}, unnest(range(1, c._c + 1)) as copy
+       from i join c on i.Response = c.Response and i._k = c._k)
+"""
+
+
+REBALANCED = f"with t as ({PREPARED}),{rebalanced_cte()}select * from rb"
+
+POISSON = f"""
+with t as ({PREPARED}),
+b as (select * from t where Response is not null),
+m as (select Response, count(*) as _m from b group by Response),
+nn as (select cast(count_if(Response = 0) as bigint) as _n from b),
+l as (select b.*, cast((select _n from nn) as double) / cast(m._m as double) as _lam,
+             {u('id', 'pois')} as _u from b join m on b.Response = m.Response),
+j as (select id, _lam, _u,
+             unnest(range(1, cast(ceil(_lam + 12.0 * sqrt(_lam) + 12.0) as bigint) + 1)) as j from l),
+s as (select id, _lam, _u, j,
+             exp(-_lam + sum(ln(_lam) - ln(cast(j as double))) over
+                 (partition by id order by j rows between unbounded preceding and current row)) as p from j),
+s2 as (select id, _lam, _u, exp(-_lam) + sum(p) over
+                 (partition by id order by j rows between unbounded preceding and current row) as cdf from s),
+cnt as (select id, (case when exp(-any_value(_lam)) < any_value(_u) then 1 else 0 end)
+                   + cast(count_if(cdf < _u) as bigint) as _c from s2 group by id)
+select {', '.join('l.' + c.strip() for c in BASE_COLS.split(','))}, unnest(range(1, cnt._c + 1)) as copy
+from l join cnt on l.id = cnt.id where cnt._c >= 1
+"""
+
+
+def _split_case(key: str, test: float = 0.2) -> str:
+    return f"case when {u(key, 'split')} < {1.0 - test!r} then 'train' else 'test' end"
+
+
+SAMPLE_N = f"""
+with t as ({PREPARED}),{rebalanced_cte()}
+select {BASE_COLS}, copy from (
+  select *, {hash_order("concat_ws('/', id, copy)", 'sample')} as _h from rb
+) order by _h, id, copy limit 10000
+"""
+
+SPLIT_SIZES = f"""
+with t as ({PREPARED}),{rebalanced_cte()}
+select split, count(*) as n from (select {_split_case("concat_ws('/', id, copy)")} as split from rb)
+group by split
+"""
+
+INFERENCE_DATA = f"""
+with t as ({PREPARED}),{rebalanced_cte()}
+select *, {ENCODE_SELECT}, {_split_case("concat_ws('/', id, copy)")} as split from rb
+"""
+
+STRATIFIED = f"""
+with t as ({PREPARED})
+select t.*, case when row_number() over (partition by Response order by {hash_order('id', 'split')}, id) - 1
+                      < ceil(0.8 * count(*) over (partition by Response)) then 'train' else 'test' end as split
+from t
+"""

@@ -1,26 +1,27 @@
 """Registered queries: name -> (spark builder, DuckDB oracle SQL or None).
 
 Each builder takes (spark, sf_dir) and returns a lazy DataFrame over the
-whole input tables.
+whole input tables; none samples, caps or filters its input to stay cheap.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from ..operators import features, profile
-from ..sources.fixture import prospects
+from pyspark.sql import functions as F
+
+from .. import schema as S
+from ..functions.encode import encode, factor_codes
+from ..operators import features, profile, sampling
+from ..session import scratch_path
+from ..sources import tables
+from ..sources.fixture import prospects, read_input
 from . import oracle_sql as O
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
-
-def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.prepare(prospects(spark, sf_dir))
-
-
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
 
@@ -31,6 +32,26 @@ def register(name: str, sql: str | None):
     return deco
 
 
+def prepared(spark: SparkSession, sf_dir: str, variant: str = "python") -> DataFrame:
+    return features.prepare(prospects(spark, sf_dir), variant=variant)
+
+
+def rebalanced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.rebalance(prepared(spark, sf_dir))
+
+
+def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.region_opportunity(prepared(spark, sf_dir))
+
+
+SHARE_SQL_COLS = S.SHARE_COLUMNS
+DESCRIBE_COLS = ["Age", "Annual_Premium", "Vintage", "Claims_Amount", "Claims_Num"]
+CORR_COLS = ["id", "Age", "Driving_License", "Region_Code", "Previously_Insured", "Annual_Premium",
+             "Policy_Sales_Channel", "Vintage", "Response", "Claims_Amount", "Claims_Num"]
+
+
+# --- sources, sinks, feature synthesis --------------------------------------
+
 @register("prospects", O.RAW)
 def q_prospects(spark, sf_dir):
     return prospects(spark, sf_dir)
@@ -41,6 +62,164 @@ def q_prepared(spark, sf_dir):
     return prepared(spark, sf_dir)
 
 
+@register("prepared_r", O.prepared_sql("r"))
+def q_prepared_r(spark, sf_dir):
+    return prepared(spark, sf_dir, variant="r")
+
+
+@register("csv_roundtrip", O.RAW)
+def q_csv_roundtrip(spark, sf_dir):
+    """The raw table written as CSV with a header, read back with the schema."""
+    path = scratch_path(spark, f"raw-csv-{uuid.uuid4().hex}")
+    tables.write_csv(prospects(spark, sf_dir), path)
+    return tables.read_csv(spark, path)
+
+
+@register("table_roundtrip", O.PREPARED)
+def q_table_roundtrip(spark, sf_dir):
+    """The prepared table saved as a catalog table, then scanned by name."""
+    name = f"prepared_{uuid.uuid4().hex[:12]}"
+    tables.save_table(prepared(spark, sf_dir), name,
+                      path=scratch_path(spark, f"table-{name}"))
+    return tables.read_table(spark, name)
+
+
+@register("preview", O.with_prepared("select * from t order by id limit 100"))
+def q_preview(spark, sf_dir):
+    return profile.preview(prepared(spark, sf_dir), 100, order=["id"])
+
+
+# --- exploration ---------------------------------------------------------------
+
 @register("region_opportunity", O.with_prepared(O.REGION_AGG))
 def q_region_opportunity(spark, sf_dir):
-    return profile.region_opportunity(prepared(spark, sf_dir))
+    return regions(spark, sf_dir)
+
+
+@register("region_view", O.with_prepared(O.REGION_AGG))
+def q_region_view(spark, sf_dir):
+    """The region roll-up published as a view and read through SQL."""
+    view = f"cross_sell_region_agg_{uuid.uuid4().hex[:8]}"
+    tables.create_view(regions(spark, sf_dir), view)
+    return spark.sql(f"SELECT * FROM {view}")
+
+
+@register("regions_ranked", O.with_prepared(O.REGIONS_RANKED))
+def q_regions_ranked(spark, sf_dir):
+    return profile.regions_ranked(regions(spark, sf_dir))
+
+
+@register("region_bubble", O.with_prepared(O.REGION_BUBBLE))
+def q_region_bubble(spark, sf_dir):
+    return profile.region_bubble(regions(spark, sf_dir))
+
+
+@register("premium_by_age", O.with_prepared(O.PREMIUM_BY_AGE))
+def q_premium_by_age(spark, sf_dir):
+    return profile.premium_by_age(prepared(spark, sf_dir))
+
+
+@register("numeric_summary", O.with_prepared(O.describe(DESCRIBE_COLS)))
+def q_numeric_summary(spark, sf_dir):
+    df = prepared(spark, sf_dir)
+    return profile.describe_numeric(df, profile.numeric_columns(df))
+
+
+@register("class_balance", O.with_prepared("select Response, count(id) as n from t group by Response"))
+def q_class_balance(spark, sf_dir):
+    return profile.class_balance(prepared(spark, sf_dir))
+
+
+@register("quality_balance", "select quality, count(doc_id) as n from labels group by quality")
+def q_quality_balance(spark, sf_dir):
+    return profile.class_balance(read_input(spark, sf_dir, "labels"), "quality", "doc_id")
+
+
+@register("majority_count",
+          O.with_prepared("select cast(count_if(Response = 0) as bigint) as n from t"))
+def q_majority_count(spark, sf_dir):
+    return profile.count_where(prepared(spark, sf_dir), F.col("Response") == 0)
+
+
+@register("long_form", O.with_prepared(O.long_form(SHARE_SQL_COLS)))
+def q_long_form(spark, sf_dir):
+    return profile.to_long(prepared(spark, sf_dir), S.SHARE_COLUMNS)
+
+
+@register("category_share", O.with_prepared(O.category_share(SHARE_SQL_COLS)))
+def q_category_share(spark, sf_dir):
+    return profile.category_share(prepared(spark, sf_dir))
+
+
+@register("category_share_r", O.with_prepared(O.category_share(SHARE_SQL_COLS, "fraction2")))
+def q_category_share_r(spark, sf_dir):
+    return profile.category_share(prepared(spark, sf_dir), mode="fraction2")
+
+
+@register("correlation", O.with_prepared(O.correlation(CORR_COLS)))
+def q_correlation(spark, sf_dir):
+    return profile.correlation_long(prepared(spark, sf_dir), CORR_COLS)
+
+
+@register("histogram", O.with_prepared(O.histogram("Age")))
+def q_histogram(spark, sf_dir):
+    return profile.histogram_by(prepared(spark, sf_dir), "Age")
+
+
+@register("box_summary", O.with_prepared(O.box("Claims_Amount")))
+def q_box_summary(spark, sf_dir):
+    return profile.box_by(prepared(spark, sf_dir), "Claims_Amount")
+
+
+@register("feature_by_label",
+          O.with_prepared("select Age as x, cast(Response as varchar) as Response from t"))
+def q_feature_by_label(spark, sf_dir):
+    return profile.feature_by_label(prepared(spark, sf_dir), "Age")
+
+
+# --- encoding --------------------------------------------------------------------
+
+@register("encoded", O.with_prepared(O.ENCODED))
+def q_encoded(spark, sf_dir):
+    return encode(prepared(spark, sf_dir))
+
+
+@register("factor_codes", O.with_prepared(O.factor_codes(["Gender", "Vehicle_Age", "Vehicle_Damage"])))
+def q_factor_codes(spark, sf_dir):
+    return factor_codes(prepared(spark, sf_dir), ["Gender", "Vehicle_Age", "Vehicle_Damage"])
+
+
+# --- resampling and splitting --------------------------------------------------
+
+@register("rebalance", O.REBALANCED)
+def q_rebalance(spark, sf_dir):
+    return rebalanced(spark, sf_dir)
+
+
+@register("rebalance_poisson", O.POISSON)
+def q_rebalance_poisson(spark, sf_dir):
+    return sampling.rebalance_poisson(prepared(spark, sf_dir))
+
+
+@register("sample_n", O.SAMPLE_N)
+def q_sample_n(spark, sf_dir):
+    return sampling.sample_n(rebalanced(spark, sf_dir), S.SAMPLE_ROWS, key=["id", "copy"])
+
+
+@register("split_sizes", O.SPLIT_SIZES)
+def q_split_sizes(spark, sf_dir):
+    return sampling.split_sizes(sampling.split(rebalanced(spark, sf_dir), key=["id", "copy"]))
+
+
+@register("stratified_split", O.STRATIFIED)
+def q_stratified_split(spark, sf_dir):
+    return sampling.stratified_split(prepared(spark, sf_dir))
+
+
+@register("inference_data", O.INFERENCE_DATA)
+def q_inference_data(spark, sf_dir):
+    """U1 + X12: train and test encoded separately, then recombined."""
+    s = sampling.split(rebalanced(spark, sf_dir), key=["id", "copy"])
+    train = encode(s.where(F.col("split") == "train"))
+    test = encode(s.where(F.col("split") == "test"))
+    return sampling.recombine(train, test)
