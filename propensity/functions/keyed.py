@@ -9,6 +9,7 @@ used anywhere.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 from pyspark.sql import Column
@@ -45,3 +46,9 @@ def lognormal(key, salt1: str, salt2: str, sigma: float = 1.0) -> Column:
 def hash_order(key, salt: str) -> Column:
     """Hex md5 of key:salt; a random but reproducible sort key."""
     return F.md5(F.concat(_col(key).cast("string"), F.lit(f":{salt}")))
+
+
+def keyed_uniform(key, salt: str, digits: int = 8) -> float:
+    """Driver-side twin of ``u`` for parameters (not data): same md5 rule."""
+    h = hashlib.md5(f"{key}:{salt}".encode()).hexdigest()[:digits]
+    return (int(h, 16) + 0.5) / float(16 ** digits)

@@ -95,26 +95,35 @@ def category_share(df: DataFrame, cols: list[str] = S.SHARE_COLUMNS,
 
 def correlation_long(df: DataFrame, cols: list[str] | None = None, digits: int | None = 2) -> DataFrame:
     """Pearson correlation of every column pair in one aggregation pass,
-    long form (col1, col2, value).  A constant column gives NULL instead of a
-    rounding residue or NaN."""
+    long form (col1, col2, value).
+
+    r = covar_samp(a, b) / (sd(a) sd(b)) with one stddev per column and one
+    covariance per unordered pair; the diagonal is 1.  A constant column gives
+    NULL (a plain corr() raises division by zero under ANSI mode)."""
     cols = cols if cols is not None else numeric_columns(df, exclude=[])
+    x = {c: F.col(c).cast("double") for c in cols}
     aggs = []
     for c in cols:
-        aggs += [F.min(F.col(c).cast("double")).alias(f"{c}__lo"),
-                 F.max(F.col(c).cast("double")).alias(f"{c}__hi")]
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    for i, (a, b) in enumerate(pairs):
-        aggs.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}"))
+        aggs += [F.min(x[c]).alias(f"{c}__lo"), F.max(x[c]).alias(f"{c}__hi"),
+                 F.stddev_samp(x[c]).alias(f"{c}__sd")]
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    aggs += [F.covar_samp(x[a], x[b]).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
     wide = df.agg(*aggs)
-    entries = []
+
+    def const(c):
+        return F.col(f"{c}__lo") == F.col(f"{c}__hi")
+
+    def rnd(v):
+        return F.round(v, digits) if digits is not None else v
+
+    entries = [F.struct(F.lit(c).alias("col1"), F.lit(c).alias("col2"),
+                        F.when(const(c), F.lit(None).cast("double")).otherwise(F.lit(1.0)).alias("value"))
+               for c in cols]
     for i, (a, b) in enumerate(pairs):
-        const = (F.col(f"{a}__lo") == F.col(f"{a}__hi")) | (F.col(f"{b}__lo") == F.col(f"{b}__hi"))
-        v = F.when(const, F.lit(None).cast("double")).otherwise(F.col(f"p{i}"))
-        if digits is not None:
-            v = F.round(v, digits)
+        r = F.try_divide(F.col(f"p{i}"), F.col(f"{a}__sd") * F.col(f"{b}__sd"))
+        v = rnd(F.when(const(a) | const(b), F.lit(None).cast("double")).otherwise(r))
         entries.append(F.struct(F.lit(a).alias("col1"), F.lit(b).alias("col2"), v.alias("value")))
-        if a != b:
-            entries.append(F.struct(F.lit(b).alias("col1"), F.lit(a).alias("col2"), v.alias("value")))
+        entries.append(F.struct(F.lit(b).alias("col1"), F.lit(a).alias("col2"), v.alias("value")))
     return wide.select(F.inline(F.array(*entries)))
 
 

@@ -274,3 +274,25 @@ select t.*, case when row_number() over (partition by Response order by {hash_or
                       < ceil(0.8 * count(*) over (partition by Response)) then 'train' else 'test' end as split
 from t
 """
+
+
+def _train_split_cte() -> str:
+    split = _split_case("concat_ws('/', id, copy)")
+    return (f"with t as ({PREPARED}),{rebalanced_cte()}, "
+            f"s as (select *, {split} as split from rb)")
+
+
+def minmax_scaled(cols: list[str]) -> str:
+    stats = ", ".join(f"min(cast({c} as double)) as {c}__lo, max(cast({c} as double)) as {c}__hi" for c in cols)
+    outs = ", ".join(f"case when {c}__hi = {c}__lo then 0.0 else (cast({c} as double) - {c}__lo) / "
+                     f"({c}__hi - {c}__lo) end as {c}_mm" for c in cols)
+    return (f"{_train_split_cte()}, st as (select {stats} from s where split = 'train')\n"
+            f"select id, copy, split, {outs} from s, st")
+
+
+def sd_scaled(cols: list[str]) -> str:
+    stats = ", ".join(f"stddev_samp(cast({c} as double)) as {c}__sd" for c in cols)
+    outs = ", ".join(f"round(case when {c}__sd = 0 then 0.0 else cast({c} as double) / {c}__sd end, 9) "
+                     f"as {c}_sd" for c in cols)
+    return (f"{_train_split_cte()}, st as (select {stats} from s where split = 'train')\n"
+            f"select id, copy, split, {outs} from s, st")

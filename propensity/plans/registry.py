@@ -223,3 +223,45 @@ def q_inference_data(spark, sf_dir):
     train = encode(s.where(F.col("split") == "train"))
     test = encode(s.where(F.col("split") == "test"))
     return sampling.recombine(train, test)
+
+
+# --- scaling (SQL forms, oracle-checked) ----------------------------------------
+
+def _balanced_split(spark, sf_dir):
+    return sampling.split(rebalanced(spark, sf_dir), key=["id", "copy"])
+
+
+@register("minmax_scaled", O.minmax_scaled(S.BASELINE_FEATURES))
+def q_minmax_scaled(spark, sf_dir):
+    from ..operators.models import minmax_sql
+    d = _balanced_split(spark, sf_dir)
+    out = minmax_sql(d.where(F.col("split") == "train"), d, S.BASELINE_FEATURES, suffix="_mm")
+    return out.select("id", "copy", "split", *[f"{c}_mm" for c in S.BASELINE_FEATURES])
+
+
+@register("sd_scaled", O.sd_scaled(S.BASELINE_FEATURES))
+def q_sd_scaled(spark, sf_dir):
+    from ..operators.models import sd_scale_sql
+    d = _balanced_split(spark, sf_dir)
+    out = sd_scale_sql(d.where(F.col("split") == "train"), d, S.BASELINE_FEATURES, suffix="_sd")
+    return out.select("id", "copy", "split", *[f"{c}_sd" for c in S.BASELINE_FEATURES])
+
+
+# --- models (rows-only checks: fitted models are not SQL) -----------------------
+
+@register("baseline_scores", None)
+def q_baseline_scores(spark, sf_dir):
+    """M4 + M12/M14: baseline fitted on the balanced train split, then every
+    row of the prepared (unbalanced) table scored."""
+    from ..operators.score import score
+    from .workflow import fit_baseline
+    model = fit_baseline(_balanced_split(spark, sf_dir))
+    return score(prepared(spark, sf_dir), model).select("id", "Response", "prediction")
+
+
+@register("baseline_f1", None)
+def q_baseline_f1(spark, sf_dir):
+    """M9: F1 of class 1 on train and test of the baseline, one pass."""
+    from .workflow import f1_by_split, fit_baseline
+    data = _balanced_split(spark, sf_dir)
+    return f1_by_split(fit_baseline(data), data)
