@@ -200,17 +200,59 @@ def poisson_count(lam: Column, uu: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), k), init, step)["c"]
 
 
+# Classes whose Poisson support bound K stays under this get a compiled
+# threshold search; larger lam (tiny classes) fall back to the fold.
+MAX_TREE_SUPPORT = 1024
+
+
+def poisson_thresholds(lam: float) -> list[float]:
+    """CDF values cdf_0..cdf_K of Poisson(lam), K = lam + 12 sqrt(lam) + 12,
+    accumulated in log space exactly as ``poisson_count`` does."""
+    import math
+    k = math.ceil(lam + 12.0 * math.sqrt(lam) + 12.0)
+    lp, cdf = -lam, math.exp(-lam)
+    out = [cdf]
+    for j in range(1, k + 1):
+        lp = lp + math.log(lam) - math.log(j)
+        cdf = cdf + math.exp(lp)
+        out.append(cdf)
+    return out
+
+
+def threshold_search(uu: Column, t: list[float]) -> Column:
+    """Number of thresholds below ``uu`` (t ascending), as a balanced CASE
+    tree: log2(len(t)) comparisons per row, all inside generated code."""
+    def node(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(uu <= F.lit(t[mid]), node(lo, mid)).otherwise(node(mid + 1, hi))
+    return node(0, len(t))
+
+
 def rebalance_poisson(df: DataFrame, label: str = S.LABEL, key: str = S.KEY,
                       n: int | None = None, salt: str = "pois", majority=0) -> DataFrame:
     """R2: approximate rebalance for very large inputs.  Each row gets a
     Poisson(n / m_class) number of copies from its own keyed draw: no index,
-    no join, no shuffle; class sizes are n in expectation."""
+    no join, no shuffle; class sizes are n in expectation.
+
+    lam is constant within a class, so the inverse CDF is a search over that
+    class's CDF values, compiled into the plan; only classes with a huge lam
+    (K > MAX_TREE_SUPPORT) use the per-row fold."""
     base = df.where(F.col(label).isNotNull())
     sizes = group_sizes(base, [label])
     target = _target(sizes, label, n, majority)
     lam = F.lit(float(target)) / sizes("_m").cast("double")
+    uu = F.col("_u")
+    count = poisson_count(F.col("_lam"), uu)          # fallback
+    gkey = group_key([label])
+    for r in sizes.rows:
+        lam_c = float(target) / float(r["_m"])
+        t = poisson_thresholds(lam_c)
+        if len(t) <= MAX_TREE_SUPPORT:
+            count = F.when(gkey == F.lit(r["_key"]), threshold_search(uu, t)).otherwise(count)
     counted = (base.withColumn("_lam", lam).withColumn("_u", u(key, salt))
-               .withColumn("_c", poisson_count(F.col("_lam"), F.col("_u"))))
+               .withColumn("_c", count))
     lam_max = target / max(1, min(sizes.values("_m")) if sizes.rows else 1)
     heavy = lam_max + 12 * lam_max ** 0.5 + 12 > COPY_CHUNK
     out = expand_copies(counted, "_c", "copy", keys=[key], heavy=heavy)

@@ -67,3 +67,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for written intermediate tables, inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def spread(df, *cols):
+    """Give an input with fewer scan partitions than the session's
+    parallelism that many hash partitions (a cheap shuffle of a small input),
+    so per-row work is not serialised in one task.  Inputs large enough to
+    have at least that many splits -- any real table -- are returned as they
+    are, without a shuffle.  Keyed draws make results independent of this."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= par:
+        return df
+    return df.repartition(par, *cols) if cols else df.repartition(par)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keyed import u
+from ..session import spread
 
 # Fixed values of the fixture definition.
 VINTAGE_REFERENCE_DATE = "2001-08-02"
@@ -25,7 +26,7 @@ def read_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prospects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_input(spark, sf_dir, "orders")
+    orders = spread(read_input(spark, sf_dir, "orders"), "o_orderkey")
     customer = read_input(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_mktsegment")
     # No broadcast hint: customer grows with the data.  Catalyst/AQE broadcast

@@ -91,3 +91,13 @@ def test_split_disjoint_complete(prepared01):
     assert s.select("id").distinct().count() == prepared01.count()
     n_train = s.where("split = 'train'").count()
     assert 0.75 < n_train / prepared01.count() < 0.85
+
+
+def test_threshold_search_matches_fold(spark):
+    lam = 8.967
+    t = sampling.poisson_thresholds(lam)
+    rows = [(x / 1000.0,) for x in range(1, 1000, 7)]
+    df = spark.createDataFrame(rows, "u double")
+    got = df.select(sampling.threshold_search(F.col("u"), t).alias("a"),
+                    sampling.poisson_count(F.lit(lam), F.col("u")).alias("b")).collect()
+    assert all(r.a == r.b for r in got)
