@@ -93,38 +93,60 @@ def category_share(df: DataFrame, cols: list[str] = S.SHARE_COLUMNS,
     return counts.withColumn("prc", prc).withColumn("label", label)
 
 
-def correlation_long(df: DataFrame, cols: list[str] | None = None, digits: int | None = 2) -> DataFrame:
-    """Pearson correlation of every column pair in one aggregation pass,
-    long form (col1, col2, value).
+# Spark stops generating code for an aggregation whose buffers exceed
+# spark.sql.codegen.maxFields (100); statistics are packed below that.
+MAX_AGG_FIELDS = 96
+
 
-    r = covar_samp(a, b) / (sd(a) sd(b)) with one stddev per column and one
-    covariance per unordered pair; the diagonal is 1.  A constant column gives
-    NULL (a plain corr() raises division by zero under ANSI mode)."""
+def correlation_long(df: DataFrame, cols: list[str] | None = None, digits: int | None = 2) -> DataFrame:
+    """Pearson correlation of every column pair, long form
+    (col1, col2, value), pairwise-complete like pandas / SQL corr().
+
+    r = covar_samp(a, b) / (sd(a | b present) sd(b | a present)); a constant
+    column gives NULL (plain corr() raises division by zero under ANSI mode).
+    Pair statistics are packed into aggregations of at most MAX_AGG_FIELDS
+    buffer fields so each stays in whole-stage generated code; the packs are
+    independent one-row aggregates whose long rows are unioned."""
     cols = cols if cols is not None else numeric_columns(df, exclude=[])
     x = {c: F.col(c).cast("double") for c in cols}
-    aggs = []
-    for c in cols:
-        aggs += [F.min(x[c]).alias(f"{c}__lo"), F.max(x[c]).alias(f"{c}__hi"),
-                 F.stddev_samp(x[c]).alias(f"{c}__sd")]
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    aggs += [F.covar_samp(x[a], x[b]).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
-    wide = df.agg(*aggs)
-
-    def const(c):
-        return F.col(f"{c}__lo") == F.col(f"{c}__hi")
 
     def rnd(v):
         return F.round(v, digits) if digits is not None else v
 
-    entries = [F.struct(F.lit(c).alias("col1"), F.lit(c).alias("col2"),
-                        F.when(const(c), F.lit(None).cast("double")).otherwise(F.lit(1.0)).alias("value"))
-               for c in cols]
-    for i, (a, b) in enumerate(pairs):
-        r = F.try_divide(F.col(f"p{i}"), F.col(f"{a}__sd") * F.col(f"{b}__sd"))
-        v = rnd(F.when(const(a) | const(b), F.lit(None).cast("double")).otherwise(r))
-        entries.append(F.struct(F.lit(a).alias("col1"), F.lit(b).alias("col2"), v.alias("value")))
-        entries.append(F.struct(F.lit(b).alias("col1"), F.lit(a).alias("col2"), v.alias("value")))
-    return wide.select(F.inline(F.array(*entries)))
+    def lit_name(c):
+        return F.lit(c)
+
+    # Diagonal: 1 where the column varies, NULL for constant / single-value columns.
+    per_col = 3  # stddev_samp buffer: n, avg, m2
+    parts = []
+    for i in range(0, len(cols), MAX_AGG_FIELDS // per_col):
+        chunk = cols[i:i + MAX_AGG_FIELDS // per_col]
+        wide = df.agg(*[F.stddev_samp(x[c]).alias(f"d{j}") for j, c in enumerate(chunk)])
+        rows = [F.struct(lit_name(c).alias("col1"), lit_name(c).alias("col2"),
+                         F.when(F.col(f"d{j}") > 0, F.lit(1.0)).alias("value"))
+                for j, c in enumerate(chunk)]
+        parts.append(wide.select(F.inline(F.array(*rows))))
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    per_pair = 4 + 3 + 3  # covar_samp + two pairwise stddev_samp buffers
+    step = MAX_AGG_FIELDS // per_pair
+    for i in range(0, len(pairs), step):
+        chunk = pairs[i:i + step]
+        aggs = []
+        for j, (a, b) in enumerate(chunk):
+            aggs += [F.covar_samp(x[a], x[b]).alias(f"c{j}"),
+                     F.stddev_samp(F.when(x[b].isNotNull(), x[a])).alias(f"sa{j}"),
+                     F.stddev_samp(F.when(x[a].isNotNull(), x[b])).alias(f"sb{j}")]
+        wide = df.agg(*aggs)
+        rows = []
+        for j, (a, b) in enumerate(chunk):
+            v = rnd(F.try_divide(F.col(f"c{j}"), F.col(f"sa{j}") * F.col(f"sb{j}")))
+            rows.append(F.struct(lit_name(a).alias("col1"), lit_name(b).alias("col2"), v.alias("value")))
+            rows.append(F.struct(lit_name(b).alias("col1"), lit_name(a).alias("col2"), v.alias("value")))
+        parts.append(wide.select(F.inline(F.array(*rows))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def histogram_by(df: DataFrame, col: str, label: str = S.LABEL, bins: int = 30) -> DataFrame:

@@ -158,13 +158,15 @@ def rebalance(df: DataFrame, label: str = S.LABEL, key: str = S.KEY, n: int | No
     ``copy`` (1..copies); (key, copy) identifies a row.  Rows whose label is
     NULL belong to no class and are not resampled."""
     base = df.where(F.col(label).isNotNull())
-    idx = dense_index(base, [label], [key], name="_k")
-    sizes = group_sizes(idx, [label])
+    # Index only the narrow (class, key) pairs; full rows move once, in the
+    # final join.  ``key`` must identify a row.
+    kidx = dense_index(base.select(label, key), [label], [key], name="_k")
+    sizes = group_sizes(kidx, [label])
     target = _target(sizes, label, n, majority)
     if target <= 0 or not sizes.rows:
         return base.withColumn("copy", F.lit(1).cast("bigint")).limit(0)
     n_chunks = -(-target // DRAW_CHUNK)
-    draws = (idx.select(label).distinct()
+    draws = (kidx.select(label).distinct()
              .withColumn("_m", sizes("_m"))
              .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_chunks - 1).cast("bigint"))))
              .repartition(min(_partitions(df), n_chunks * len(sizes.rows)), label, "_chunk")
@@ -174,10 +176,11 @@ def rebalance(df: DataFrame, label: str = S.LABEL, key: str = S.KEY, n: int | No
              .select(label, F.floor(_wide_u(_draw_key(label, "_i"), salt, F.col("_m"))
                                     * F.col("_m")).alias("_k"))
              .groupBy(label, "_k").agg(F.count(F.lit(1)).alias("_c")))
-    joined = idx.join(draws, [label, "_k"])
+    picked = kidx.join(draws, [label, "_k"]).select(label, key, "_c")
+    joined = base.join(picked, [label, key])
     # Expected copies per row are target / m; allow generous headroom.
     heavy = target / max(1, min(sizes.values("_m"))) > COPY_CHUNK / 8
-    out = expand_copies(joined, "_c", "copy", keys=[label, "_k"], heavy=heavy)
+    out = expand_copies(joined, "_c", "copy", keys=[label, key], heavy=heavy)
     return out.select(*df.columns, "copy")
 
 
