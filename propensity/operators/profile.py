@@ -90,7 +90,11 @@ def category_share(df: DataFrame, cols: list[str] = S.SHARE_COLUMNS,
     else:
         prc = F.round(F.col("n").cast("double") / total.cast("double"), 2)
         label = F.format_string("%.2f", F.col("prc"))
-    return counts.withColumn("prc", prc).withColumn("label", label)
+    out = counts.withColumn("prc", prc).withColumn("label", label)
+    # O3: per column, largest share first (percent1) or by (name, prc) (fraction2).
+    if mode == "percent1":
+        return out.orderBy("name", F.col("n").desc(), "value")
+    return out.orderBy("name", "prc", "value")
 
 
 # Spark stops generating code for an aggregation whose buffers exceed
@@ -199,6 +203,11 @@ def feature_by_label(df: DataFrame, feature: str, label: str = S.LABEL) -> DataF
     return df.select(F.col(feature).alias("x"), F.col(label).cast("string").alias(label))
 
 
+def drop_first(df: DataFrame) -> DataFrame:
+    """Drop the first column by position (P3 is plain ``drop``/``select``)."""
+    return df.drop(df.columns[0])
+
+
 def preview(df: DataFrame, n: int = 100, order: list[str] | None = None) -> DataFrame:
     """Bounded preview; with ``order`` the rows are a total-order top-n."""
     return (df.orderBy(*order) if order else df).limit(n)

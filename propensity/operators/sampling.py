@@ -22,8 +22,6 @@ MAX_MAP_ENTRIES = 100_000
 # Draws generated per task chunk, and copies of one row expanded per task.
 DRAW_CHUNK = 1 << 20
 COPY_CHUNK = 1 << 12
-# Largest key set a sample may broadcast back (bounded by the requested n).
-MAX_BROADCAST_SAMPLE = 1_000_000
 
 
 def _partitions(df: DataFrame) -> int:
@@ -269,14 +267,26 @@ def row_key(cols: list[str]) -> Column:
 
 def sample_n(df: DataFrame, n: int, key: list[str] = (S.KEY,), salt: str = "sample") -> DataFrame:
     """Simple random sample of min(n, rows) rows without replacement: the
-    n rows with the smallest md5(key:salt).  The top-n runs on (hash, key)
-    only; the full rows are then fetched with a semi-join against at most n
-    keys."""
+    rows with the n smallest md5(key:salt).
+
+    A keyed draw u is a function of the hash's first 8 hex digits, so the rows
+    with u < t are exactly the rows with the smallest hash prefixes.  With
+    t = (n + 10 sqrt(n) + 100) / N they number about n, so the final top-n
+    merge sees ~n rows instead of n per task.  The (small) result is written
+    once; if it holds fewer than min(n, N) rows -- a 10-sigma event -- the
+    unfiltered top-n is used instead, so the sample is always exact."""
     key = list(key)
-    hashed = df.withColumn("_h", hash_order(row_key(key), salt))
-    top = hashed.select("_h", *key).orderBy("_h", *key).limit(n)
-    chosen = F.broadcast(top) if n <= MAX_BROADCAST_SAMPLE else top
-    return hashed.join(chosen, ["_h", *key], "left_semi").drop("_h")
+    kstr = row_key(key)
+    hashed = df.withColumn("_h", hash_order(kstr, salt))
+    total = df.count()
+    want = min(int(n), total)
+    frac = (n + 10 * n ** 0.5 + 100) / total if total else 1.0
+    if want > 0 and frac < 1.0:
+        top = materialize(hashed.where(u(kstr, salt) < F.lit(frac)).orderBy("_h", *key).limit(n),
+                          "sample")
+        if top.count() == want:
+            return top.drop("_h")
+    return hashed.orderBy("_h", *key).limit(n).drop("_h")
 
 
 def split(df: DataFrame, key: list[str] = (S.KEY,), test: float = S.TEST_FRACTION,

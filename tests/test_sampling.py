@@ -101,3 +101,11 @@ def test_threshold_search_matches_fold(spark):
     got = df.select(sampling.threshold_search(F.col("u"), t).alias("a"),
                     sampling.poisson_count(F.lit(lam), F.col("u")).alias("b")).collect()
     assert all(r.a == r.b for r in got)
+
+
+def test_sample_n_threshold_equals_full_sort(spark):
+    df = spark.range(0, 20000).withColumnRenamed("id", "id")
+    got = sampling.sample_n(df, 300)
+    from propensity.functions.keyed import hash_order
+    want = df.orderBy(hash_order(sampling.row_key(["id"]), "sample"), "id").limit(300)
+    assert got.count() == 300 and got.exceptAll(want).count() == 0
