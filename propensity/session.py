@@ -75,7 +75,10 @@ def spread(df, *cols):
     so per-row work is not serialised in one task.  Inputs large enough to
     have at least that many splits -- any real table -- are returned as they
     are, without a shuffle.  Keyed draws make results independent of this."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par:
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= par:
+            return df
+    except Exception:  # no SparkContext on this client: leave the layout to the server
         return df
     return df.repartition(par, *cols) if cols else df.repartition(par)
