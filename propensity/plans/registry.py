@@ -265,3 +265,50 @@ def q_baseline_f1(spark, sf_dir):
     from .workflow import f1_by_split, fit_baseline
     data = _balanced_split(spark, sf_dir)
     return f1_by_split(fit_baseline(data), data)
+
+
+@register("model_runs", None)
+def q_model_runs(spark, sf_dir):
+    """M5-M7 + M9 + M10 + O5: elastic net, boosted trees (the R settings) and
+    the penalised linear model fitted on the balanced train split, each logged
+    to a runs table with F1 train/test; the result is the ranked run list
+    (f1_test > 0.25, best first)."""
+    from ..operators import models, runs
+    from .workflow import f1_by_split, metrics_dict, training_frame
+    data = _balanced_split(spark, sf_dir)
+    train = training_frame(data)
+    path = scratch_path(spark, f"runs-{uuid.uuid4().hex}")
+    try:
+        for algo, pipe in (("elastic_net", models.elastic_net_pipeline()),
+                           ("boosted_trees", models.boosted_pipeline()),
+                           ("linear", models.linear_pipeline())):
+            model = pipe.fit(train)
+            runs.log_run(spark, path, "cross-sell", algo,
+                         {p.name: v for p, v in pipe.getStages()[-1].extractParamMap().items()
+                          if p.name in ("regParam", "elasticNetParam", "maxIter", "maxDepth", "stepSize")},
+                         metrics_dict(f1_by_split(model, data)))
+    finally:
+        train.unpersist()
+    return runs.search_runs(runs.read_runs(spark, path), min_value=None).select(
+        "algorithm", F.col("metrics")["f1_train"].alias("f1_train"),
+        F.col("metrics")["f1_test"].alias("f1_test"))
+
+
+@register("scored_table", None)
+def q_scored_table(spark, sf_dir):
+    """U1 + M13: train/test recombined (inference data), scored by the boosted
+    model and saved as a table; the saved table is returned."""
+    from ..operators import models
+    from ..operators.score import score_to_table
+    from .workflow import training_frame
+    data = _balanced_split(spark, sf_dir)
+    train = training_frame(data)
+    try:
+        model = models.boosted_pipeline().fit(train)
+    finally:
+        train.unpersist()
+    inference = sampling.recombine(data.where(F.col("split") == "train"),
+                                   data.where(F.col("split") == "test"))
+    name = f"data_with_predictions_{uuid.uuid4().hex[:12]}"
+    score_to_table(inference, model, name, path=scratch_path(spark, f"table-{name}"))
+    return tables.read_table(spark, name)

@@ -109,3 +109,23 @@ def test_sample_n_threshold_equals_full_sort(spark):
     from propensity.functions.keyed import hash_order
     want = df.orderBy(hash_order(sampling.row_key(["id"]), "sample"), "id").limit(300)
     assert got.count() == 300 and got.exceptAll(want).count() == 0
+
+
+def test_keyed_operators_layout_independent(spark, prepared01):
+    from propensity.operators import profile
+
+    def run(parts, spread):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        d = prepared01.repartition(spread)
+        pois = sorted((r.Response, r.n, r.s) for r in sampling.rebalance_poisson(d).groupBy("Response").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("id") * F.col("copy")).alias("s")).collect())
+        strat = sorted((r.Response, r.split, r.s) for r in sampling.stratified_split(d).groupBy(
+            "Response", "split").agg(F.sum("id").alias("s")).collect())
+        box = sorted(tuple(r) for r in profile.box_by(d, "Claims_Amount").collect())
+        return pois, strat, box
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert run(3, 1) == run(11, 9)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
