@@ -1,9 +1,10 @@
 """Resampling and splitting with keyed randomness.
 
-Per-class statistics (sizes, index offsets) reach the rows as scalar-subquery
-maps whose size is bounded by (classes x range partitions) and checked in the
-plan; no window over a whole class and no collect of rows.  Every draw is a
-function of (key, salt), so results do not depend on partitioning or retries.
+Per-class statistics (sizes, index offsets) are aggregates bounded by
+(classes x range partitions); they are fetched once with a checked size and
+reach the rows as literal maps.  No window spans a whole class and no row data
+is collected.  Every draw is a function of (key, salt), so results do not
+depend on partitioning, retries or lost executors.
 """
 
 from __future__ import annotations
@@ -245,13 +246,17 @@ def rebalance_poisson(df: DataFrame, label: str = S.LABEL, key: str = S.KEY,
     target = _target(sizes, label, n, majority)
     lam = F.lit(float(target)) / sizes("_m").cast("double")
     uu = F.col("_u")
-    count = poisson_count(F.col("_lam"), uu)          # fallback
     gkey = group_key([label])
+    count, folded = F.lit(None).cast("int"), []
     for r in sizes.rows:
         lam_c = float(target) / float(r["_m"])
-        t = poisson_thresholds(lam_c)
-        if len(t) <= MAX_TREE_SUPPORT:
+        if lam_c + 12 * lam_c ** 0.5 + 13 <= MAX_TREE_SUPPORT:
+            t = poisson_thresholds(lam_c)
             count = F.when(gkey == F.lit(r["_key"]), threshold_search(uu, t)).otherwise(count)
+        else:
+            folded.append(r["_key"])
+    if folded:
+        count = F.when(gkey.isin(*folded), poisson_count(F.col("_lam"), uu)).otherwise(count)
     counted = (base.withColumn("_lam", lam).withColumn("_u", u(key, salt))
                .withColumn("_c", count))
     lam_max = target / max(1, min(sizes.values("_m")) if sizes.rows else 1)
@@ -269,7 +274,7 @@ def sample_n(df: DataFrame, n: int, key: list[str] = (S.KEY,), salt: str = "samp
     """Simple random sample of min(n, rows) rows without replacement: the
     rows with the n smallest md5(key:salt).
 
-    A keyed draw u is a function of the hash's first 8 hex digits, so the rows
+    A keyed draw u is a function of the hash's first 13 hex digits, so the rows
     with u < t are exactly the rows with the smallest hash prefixes.  With
     t = (n + 10 sqrt(n) + 100) / N they number about n, so the final top-n
     merge sees ~n rows instead of n per task.  The (small) result is written
@@ -282,7 +287,7 @@ def sample_n(df: DataFrame, n: int, key: list[str] = (S.KEY,), salt: str = "samp
     want = min(int(n), total)
     frac = (n + 10 * n ** 0.5 + 100) / total if total else 1.0
     if want > 0 and frac < 1.0:
-        top = materialize(hashed.where(u(kstr, salt) < F.lit(frac)).orderBy("_h", *key).limit(n),
+        top = materialize(hashed.where(u(kstr, salt, 13) < F.lit(frac)).orderBy("_h", *key).limit(n),
                           "sample")
         if top.count() == want:
             return top.drop("_h")

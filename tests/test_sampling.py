@@ -129,3 +129,14 @@ def test_keyed_operators_layout_independent(spark, prepared01):
         assert run(3, 1) == run(11, 9)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_poisson_tiny_class_uses_fold_and_heavy_split(spark):
+    rows = [(i, 0) for i in range(20000)] + [(100000, 1), (100001, 1)]
+    df = spark.createDataFrame(rows, "id long, Response int")
+    out = sampling.rebalance_poisson(df)          # lam = 10000 for class 1
+    per_id = {r.id: (r.n, r.mx) for r in out.where("Response = 1").groupBy("id").agg(
+        F.count(F.lit(1)).alias("n"), F.max("copy").alias("mx")).collect()}
+    assert all(n == mx for n, mx in per_id.values())          # copies numbered 1..c, none lost
+    total = sum(n for n, _ in per_id.values())
+    assert 19000 < total < 21000                               # Poisson(10000) x 2 around 20000
