@@ -116,17 +116,22 @@ def expand_copies(df: DataFrame, count: str, out: str = "copy", keys: list[str]
     into chunks that are hash-spread over tasks, so one heavily drawn row
     never expands inside a single task.  Callers pass ``heavy=False`` only
     when class sizes show no row can need that many copies."""
-    c = F.col(count)
+    # Rows are selected through the generator (an empty array drops a row),
+    # not by a Filter: a filter on ``count`` would be pushed below the
+    # projection that computes it and re-evaluate that expression.
+    c = F.col(count).cast("bigint")
+    none = F.array().cast("array<bigint>")
+    one = F.lit(1).cast("bigint")
     if not heavy:
-        return df.where(c >= 1).withColumn(out, F.explode(F.sequence(F.lit(1).cast("bigint"), c.cast("bigint"))))
-    light = df.where((c >= 1) & (c <= chunk)).withColumn(
-        out, F.explode(F.sequence(F.lit(1).cast("bigint"), c.cast("bigint"))))
-    heavy_rows = (df.where(c > chunk)
-                  .withColumn("_cb", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                          F.ceil(c / F.lit(chunk)) - 1)))
+        return df.withColumn(out, F.explode(F.when(c >= 1, F.sequence(one, c)).otherwise(none)))
+    light = df.withColumn(out, F.explode(
+        F.when((c >= 1) & (c <= chunk), F.sequence(one, c)).otherwise(none)))
+    heavy_rows = (df.withColumn("_cb", F.explode(
+                      F.when(c > chunk, F.sequence(F.lit(0).cast("bigint"), F.ceil(c / F.lit(chunk)) - 1))
+                      .otherwise(none)))
                   .repartition(_partitions(df), *(keys or []), "_cb")
                   .withColumn(out, F.explode(F.sequence(F.col("_cb") * chunk + 1,
-                                                        F.least(c.cast("bigint"), (F.col("_cb") + 1) * chunk))))
+                                                        F.least(c, (F.col("_cb") + 1) * chunk))))
                   .drop("_cb"))
     return light.unionByName(heavy_rows)
 
