@@ -30,16 +30,23 @@ def encode(df: DataFrame, maps: dict = S.ENCODERS, prefix: str = "x_",
 
 def factor_codes(df: DataFrame, cols: list[str], base: int = 1, max_levels: int = 10_000) -> DataFrame:
     """Codes by alphabetical (binary / code point) order of the distinct
-    values, starting at ``base``; NULL stays NULL.  The level list of each
-    column is an aggregate bounded by ``max_levels`` (checked), inlined as a
-    literal map."""
+    values, starting at ``base``; NULL stays NULL.  The levels of all columns
+    come from one pass (unpivot, distinct); they are bounded by
+    ``max_levels`` per column (checked) and inlined as literal maps."""
+    if not cols:
+        return df
+    limit = max_levels * len(cols)
+    levels = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+              .unpivot([], cols, "name", "value").where(F.col("value").isNotNull())
+              .distinct().limit(limit + 1).collect())
+    by_col: dict[str, list[str]] = {c: [] for c in cols}
+    for r in levels:
+        by_col[r["name"]].append(r["value"])
     out = {}
     for c in cols:
-        levels = [r[0] for r in (df.select(F.col(c).cast("string")).where(F.col(c).isNotNull())
-                                 .distinct().limit(max_levels + 1).collect())]
-        if len(levels) > max_levels:
+        if len(by_col[c]) > max_levels or len(levels) > limit:
             raise ValueError(f"factor_codes: {c} has more than {max_levels} levels")
-        pairs = [x for i, v in enumerate(sorted(levels)) for x in (F.lit(v), F.lit(i + base))]
+        pairs = [x for i, v in enumerate(sorted(by_col[c])) for x in (F.lit(v), F.lit(i + base))]
         code = F.try_element_at(F.create_map(*pairs), F.col(c).cast("string")) if pairs else F.lit(None)
         out[c] = code.cast("int")
     return df.withColumns(out)

@@ -50,6 +50,13 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, digits: int =
     return wide.select(F.inline(rows))
 
 
+def describe_all(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """A3, R form: count, mean, stddev, min, max of every column (strings
+    included: mean/stddev NULL, min/max by text order), one pass; Spark's own
+    summary table, string-typed like the source it mirrors."""
+    return df.describe(*(cols or df.columns))
+
+
 def class_balance(df: DataFrame, label: str = S.LABEL, key: str | None = S.KEY) -> DataFrame:
     """A2: rows per label value; counts non-null ``key`` (Python form) or all
     rows when ``key`` is None (R form)."""

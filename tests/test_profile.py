@@ -75,3 +75,9 @@ def test_region_plan_prunes_columns(prepared01):
     plan = profile.regions_ranked(profile.region_opportunity(prepared01))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "Region_Code" in plan and "Vintage" not in plan
+
+
+def test_describe_all_includes_strings(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "g string, x double")
+    rows = {r.summary: (r.g, r.x) for r in profile.describe_all(df).collect()}
+    assert rows["count"] == ("2", "2") and rows["min"] == ("a", "1.0") and rows["max"] == ("b", "3.0")
