@@ -109,7 +109,8 @@ def category_share(df: DataFrame, cols: list[str] = S.SHARE_COLUMNS,
 MAX_AGG_FIELDS = 96
 
 
-def correlation_long(df: DataFrame, cols: list[str] | None = None, digits: int | None = 2) -> DataFrame:
+def correlation_long(df: DataFrame, cols: list[str] | None = None, digits: int | None = 2,
+                     factors: bool = False) -> DataFrame:
     """Pearson correlation of every column pair, long form
     (col1, col2, value), pairwise-complete like pandas / SQL corr().
 
@@ -117,7 +118,17 @@ def correlation_long(df: DataFrame, cols: list[str] | None = None, digits: int |
     column gives NULL (plain corr() raises division by zero under ANSI mode).
     Pair statistics are packed into aggregations of at most MAX_AGG_FIELDS
     buffer fields so each stays in whole-stage generated code; the packs are
-    independent one-row aggregates whose long rows are unioned."""
+    independent one-row aggregates whose long rows are unioned.
+
+    ``factors=True`` (R form) first replaces string columns by their 1-based
+    alphabetical codes and includes them."""
+    if factors:
+        from ..functions.encode import factor_codes
+        strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)
+                   and (cols is None or f.name in cols)]
+        df = factor_codes(df, strings)
+        if cols is None:
+            cols = [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES)]
     cols = cols if cols is not None else numeric_columns(df, exclude=[])
     x = {c: F.col(c).cast("double") for c in cols}
 

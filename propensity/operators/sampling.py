@@ -152,7 +152,7 @@ def _target(sizes: SmallLookup, label: str, n: int | None, majority) -> int:
 
 
 def rebalance(df: DataFrame, label: str = S.LABEL, key: str = S.KEY, n: int | None = None,
-              salt: str = "boot", majority=0) -> DataFrame:
+              salt: str = "boot", majority=0, resample_majority: bool = True) -> DataFrame:
     """Bootstrap every class to ``n`` rows (default: the size of class
     ``majority``), drawing with replacement, the majority class included.
 
@@ -160,7 +160,17 @@ def rebalance(df: DataFrame, label: str = S.LABEL, key: str = S.KEY, n: int | No
     aggregated to (class, index, copies) before meeting the rows, so the join
     carries at most one row per distinct drawn row.  Output: input columns +
     ``copy`` (1..copies); (key, copy) identifies a row.  Rows whose label is
-    NULL belong to no class and are not resampled."""
+    NULL belong to no class and are not resampled.
+
+    ``resample_majority=False`` keeps the ``majority`` class as it is (each
+    row once, copy = 1) and bootstraps only the other classes to ``n``."""
+    if not resample_majority:
+        is_major = F.col(label) == F.lit(majority)
+        if n is None:
+            n = df.where(is_major).count()
+        kept = df.where(is_major).withColumn("copy", F.lit(1).cast("bigint"))
+        others = rebalance(df.where(~is_major), label, key, n, salt, majority)
+        return kept.unionByName(others)
     base = df.where(F.col(label).isNotNull())
     # Index only the narrow (class, key) pairs; full rows move once, in the
     # final join.  ``key`` must identify a row.

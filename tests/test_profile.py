@@ -81,3 +81,9 @@ def test_describe_all_includes_strings(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "g string, x double")
     rows = {r.summary: (r.g, r.x) for r in profile.describe_all(df).collect()}
     assert rows["count"] == ("2", "2") and rows["min"] == ("a", "1.0") and rows["max"] == ("b", "3.0")
+
+
+def test_correlation_with_factor_codes(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 3.0)], "g string, x double")
+    out = {(r.col1, r.col2): r.value for r in profile.correlation_long(df, factors=True).collect()}
+    assert out[("g", "x")] == 1.0 and out[("x", "g")] == 1.0

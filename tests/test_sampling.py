@@ -140,3 +140,11 @@ def test_poisson_tiny_class_uses_fold_and_heavy_split(spark):
     assert all(n == mx for n, mx in per_id.values())          # copies numbered 1..c, none lost
     total = sum(n for n, _ in per_id.values())
     assert 19000 < total < 21000                               # Poisson(10000) x 2 around 20000
+
+
+def test_rebalance_keeps_majority_when_asked(prepared01):
+    out = sampling.rebalance(prepared01, resample_majority=False)
+    sizes = {r.Response: r["count"] for r in out.groupBy("Response").count().collect()}
+    assert sizes == {0: 13495, 1: 13495}
+    major = out.where("Response = 0")
+    assert major.select("id").distinct().count() == 13495 and major.where("copy <> 1").count() == 0
