@@ -25,10 +25,26 @@ DRAW_CHUNK = 1 << 20
 COPY_CHUNK = 1 << 12
 
 
+# Upper bound on range partitions of a dense index (its offsets map has at
+# most partitions + groups entries).
+MAX_INDEX_PARTITIONS = 20_000
+
+
 def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _index_partitions(df: DataFrame) -> int:
+    """Range partitions for an index: at least the shuffle partitions, grown
+    with the input's own split count (a proxy for its size), capped."""
+    parts = _partitions(df)
+    try:
+        parts = max(parts, df.rdd.getNumPartitions())
+    except Exception:  # no RDD access on this client
+        pass
+    return min(parts, MAX_INDEX_PARTITIONS)
+
+
 def group_key(by: list[str]) -> Column:
     """Text key of a group; NULL fields get a marker so they form a group too."""
     return F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in by])
@@ -89,7 +105,7 @@ def dense_index(df: DataFrame, by: list[str], order: list, name: str = "idx",
     result once (range boundaries come from sampling and must not be
     recomputed), then add per-(group, partition) offsets from a prefix sum
     over the tiny count table."""
-    parts = partitions or _partitions(df)
+    parts = partitions or _index_partitions(df)
     ocols = {f"_o{i}": (F.col(c) if isinstance(c, str) else c) for i, c in enumerate(order)}
     okeys = list(ocols)
     tagged = (df.withColumns(ocols)
