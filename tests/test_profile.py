@@ -87,3 +87,23 @@ def test_correlation_with_factor_codes(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 3.0)], "g string, x double")
     out = {(r.col1, r.col2): r.value for r in profile.correlation_long(df, factors=True).collect()}
     assert out[("g", "x")] == 1.0 and out[("x", "g")] == 1.0
+
+
+def test_correlation_pairwise_with_nulls_matches_pandas(spark):
+    import pandas as pd
+    rows = [(1.0, 2.0, None), (2.0, 1.0, 3.0), (3.0, 5.0, 1.0), (4.0, None, 2.0), (5.0, 4.0, 7.0), (6.0, 7.0, 5.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r.col1, r.col2): r.value for r in profile.correlation_long(df, digits=None).collect()}
+    want = pd.DataFrame(rows, columns=["a", "b", "c"]).corr()
+    for (a, b), v in got.items():
+        assert abs(v - want.loc[a, b]) < 1e-12
+
+
+def test_correlation_complete_matches_pandas(spark):
+    import pandas as pd
+    rows = [(float(i), float((i * 7) % 11), float(i * i % 13)) for i in range(50)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r.col1, r.col2): r.value for r in profile.correlation_long(df, digits=None).collect()}
+    want = pd.DataFrame(rows, columns=["a", "b", "c"]).corr()
+    for (a, b), v in got.items():
+        assert abs(v - want.loc[a, b]) < 1e-12
