@@ -92,7 +92,10 @@ def main():
     t = time.perf_counter()
     run(score.score(base, model))
     times["score"] = round(time.perf_counter() - t, 3)
-    sf = os.path.basename(SF_DIR).replace("sf", "")
+    try:
+        sf = float(os.path.basename(SF_DIR).replace("sf", ""))
+    except ValueError:
+        sf = os.path.basename(SF_DIR)
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf,
                       "cpus": int(os.environ.get("BENCH_CPUS", "8")), "runs": RUNS}))
