@@ -26,7 +26,7 @@ from propensity import schema as S  # noqa: E402
 from propensity.operators import features, profile, sampling, score  # noqa: E402
 from propensity.plans import workflow  # noqa: E402
 from propensity.session import build_session, scratch_path  # noqa: E402
-from propensity.sources.fixture import prospects  # noqa: E402
+from propensity.plans.registry import staged_prospects  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
@@ -43,7 +43,8 @@ def headline(spark, sf_dir, table_path):
     saved = lambda: spark.read.parquet(table_path)
 
     def prepare():
-        features.prepare(prospects(spark, sf_dir)).write.mode("overwrite").parquet(table_path)
+        raw = staged_prospects(spark, sf_dir)
+        features.prepare(raw).write.mode("overwrite").parquet(table_path)
 
     return {
         "prepare": prepare,

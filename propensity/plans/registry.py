@@ -32,8 +32,16 @@ def register(name: str, sql: str | None):
     return deco
 
 
+def staged_prospects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw prospects (orders joined to customer) written once under the
+    checkpoint folder: the preparation reads its input three times (two
+    one-row aggregates and the output), and at scale each read would
+    otherwise repeat the join's shuffle."""
+    return sampling.materialize(prospects(spark, sf_dir), "prospects")
+
+
 def prepared(spark: SparkSession, sf_dir: str, variant: str = "python") -> DataFrame:
-    return features.prepare(prospects(spark, sf_dir), variant=variant)
+    return features.prepare(staged_prospects(spark, sf_dir), variant=variant)
 
 
 def rebalanced(spark: SparkSession, sf_dir: str) -> DataFrame:
