@@ -148,3 +148,14 @@ def test_rebalance_keeps_majority_when_asked(prepared01):
     assert sizes == {0: 13495, 1: 13495}
     major = out.where("Response = 0")
     assert major.select("id").distinct().count() == 13495 and major.where("copy <> 1").count() == 0
+
+
+def test_rebalance_tiny_class_heavy_copies_exact(spark):
+    rows = [(i, 0) for i in range(20000)] + [(100000, 1), (100001, 1), (100002, 1)]
+    df = spark.createDataFrame(rows, "id long, Response int")
+    out = sampling.rebalance(df)                       # class 1: 3 rows -> 20000 draws
+    sizes = {r.Response: r["count"] for r in out.groupBy("Response").count().collect()}
+    assert sizes == {0: 20000, 1: 20000}
+    per_id = out.where("Response = 1").groupBy("id").agg(
+        F.count(F.lit(1)).alias("n"), F.max("copy").alias("mx"), F.countDistinct("copy").alias("d")).collect()
+    assert all(r.n == r.mx == r.d for r in per_id) and sum(r.n for r in per_id) == 20000
