@@ -231,7 +231,7 @@ def preview(df: DataFrame, n: int = 100, order: list[str] | None = None) -> Data
     return (df.orderBy(*order) if order else df).limit(n)
 
 
-def box_by(df: DataFrame, col: str, label: str = S.LABEL) -> DataFrame:
+def box_by(df: DataFrame, col: str, label: str = S.LABEL, key: str = S.KEY) -> DataFrame:
     """Box-plot summary per label: exact quartiles (linear interpolation
     between order statistics, like ``quantile_cont``), 1.5 IQR whiskers and
     the outlier count.
@@ -241,8 +241,12 @@ def box_by(df: DataFrame, col: str, label: str = S.LABEL) -> DataFrame:
     so a class holding most rows is still spread over many tasks."""
     from .sampling import SmallLookup, dense_index, group_sizes
 
-    base = df.select(F.col(label), F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    idx = dense_index(base, [label], ["_x"], name="_i")
+    # A unique tiebreaker after x: a frequent value (e.g. a zero amount) is
+    # otherwise one range key that a single task would receive whole.
+    tie = F.col(key) if key in df.columns else F.monotonically_increasing_id()
+    base = (df.select(F.col(label), F.col(col).cast("double").alias("_x"), tie.alias("_t"))
+            .where(F.col("_x").isNotNull()))
+    idx = dense_index(base, [label], ["_x", "_t"], name="_i")
     m = group_sizes(idx, [label])("_m")
     probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
     picks, conds = [], []
