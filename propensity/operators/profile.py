@@ -9,7 +9,7 @@ sizes) arrive as scalar subqueries, never through an unpartitioned window.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,19 +78,27 @@ def to_long(df: DataFrame, cols: list[str], name: str = "name", value: str = "va
 def category_share(df: DataFrame, cols: list[str] = S.SHARE_COLUMNS,
                    mode: str = "percent1") -> DataFrame:
     """A4 (+W1, X8): frequency and share of each value of each column, all
-    columns in one job.
+    columns in one aggregation.
 
     ``percent1``: NULLs dropped, share in percent rounded to 1 decimal, label
     text like ``'12.3%'``.  ``fraction2``: NULLs kept as a group, fraction
-    rounded to 2 decimals, label like ``'0.12'``.  The window runs on the
-    aggregated (name, value) rows only."""
+    rounded to 2 decimals, label like ``'0.12'``.
+
+    W1 (share within the column) divides by the column's total, which is
+    just its (non-null) row count: one-row scalar subqueries, merged into a
+    single aggregate, so no window partition ever holds all values of a
+    high-cardinality column."""
+    if mode not in ("percent1", "fraction2"):
+        raise ValueError("mode must be 'percent1' or 'fraction2'")
     long = to_long(df, cols)
     if mode == "percent1":
         long = long.where(F.col("value").isNotNull())
-    elif mode != "fraction2":
-        raise ValueError("mode must be 'percent1' or 'fraction2'")
+        totals = df.agg(*[F.count(F.col(c)).alias(c) for c in cols])
+    else:
+        totals = df.agg(*[F.count(F.lit(1)).alias(c) for c in cols])
+    total = F.element_at(F.create_map(*[x for c in cols for x in (F.lit(c), totals.select(c).scalar())]),
+                         F.col("name"))
     counts = long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy("name"))
     if mode == "percent1":
         prc = F.round(F.lit(100.0) * F.col("n").cast("double") / total.cast("double"), 1)
         label = F.format_string("%.1f%%", F.col("prc"))
@@ -104,11 +112,6 @@ def category_share(df: DataFrame, cols: list[str] = S.SHARE_COLUMNS,
     return out.orderBy("name", "prc", "value")
 
 
-# Spark stops generating code for an aggregation whose buffers exceed
-# spark.sql.codegen.maxFields (100); statistics are packed below that.
-MAX_AGG_FIELDS = 96
-
-
 def correlation_long(df: DataFrame, cols: list[str] | None = None, digits: int | None = 2,
                      factors: bool = False) -> DataFrame:
     """Pearson correlation of every column pair, long form
