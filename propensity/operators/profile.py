@@ -112,6 +112,11 @@ def category_share(df: DataFrame, cols: list[str] = S.SHARE_COLUMNS,
     return out.orderBy("name", "prc", "value")
 
 
+# Spark stops generating code for an aggregation whose buffers exceed
+# spark.sql.codegen.maxFields (100); statistics are packed below that.
+MAX_AGG_FIELDS = 96
+
+
 def correlation_long(df: DataFrame, cols: list[str] | None = None, digits: int | None = 2,
                      factors: bool = False) -> DataFrame:
     """Pearson correlation of every column pair, long form
