@@ -84,28 +84,27 @@ def category_share(df: DataFrame, cols: list[str] = S.SHARE_COLUMNS,
     text like ``'12.3%'``.  ``fraction2``: NULLs kept as a group, fraction
     rounded to 2 decimals, label like ``'0.12'``.
 
-    W1 (share within the column) divides by the column's total, which is
-    just its (non-null) row count: one-row scalar subqueries, merged into a
-    single aggregate, so no window partition ever holds all values of a
+    W1 (share within the column): the per-column totals are summed from
+    the aggregated counts (the counts' shuffle is reused, no second scan)
+    and joined back by broadcast -- that table has exactly one row per
+    profiled column, so no window partition ever holds all values of a
     high-cardinality column."""
     if mode not in ("percent1", "fraction2"):
         raise ValueError("mode must be 'percent1' or 'fraction2'")
     long = to_long(df, cols)
     if mode == "percent1":
         long = long.where(F.col("value").isNotNull())
-        totals = df.agg(*[F.count(F.col(c)).alias(c) for c in cols])
-    else:
-        totals = df.agg(*[F.count(F.lit(1)).alias(c) for c in cols])
-    total = F.element_at(F.create_map(*[x for c in cols for x in (F.lit(c), totals.select(c).scalar())]),
-                         F.col("name"))
     counts = long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    totals = counts.groupBy("name").agg(F.sum("n").alias("_total"))   # len(cols) rows
+    counts = counts.join(F.broadcast(totals), "name")
+    total = F.col("_total")
     if mode == "percent1":
         prc = F.round(F.lit(100.0) * F.col("n").cast("double") / total.cast("double"), 1)
         label = F.format_string("%.1f%%", F.col("prc"))
     else:
         prc = F.round(F.col("n").cast("double") / total.cast("double"), 2)
         label = F.format_string("%.2f", F.col("prc"))
-    out = counts.withColumn("prc", prc).withColumn("label", label)
+    out = counts.withColumn("prc", prc).withColumn("label", label).drop("_total")
     # O3: per column, largest share first (percent1) or by (name, prc) (fraction2).
     if mode == "percent1":
         return out.orderBy("name", F.col("n").desc(), "value")
