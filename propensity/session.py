@@ -82,3 +82,18 @@ def spread(df, *cols):
     except Exception:  # no SparkContext on this client: leave the layout to the server
         return df
     return df.repartition(par, *cols) if cols else df.repartition(par)
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete this application's written intermediate tables (the ``tables``
+    folder inside its own checkpoint directory, which Spark names per
+    application).  Call at the end of a job; returns whether anything was
+    removed.  Uses the Hadoop FileSystem of that path, so it works on any
+    shared store the cluster names."""
+    base = spark.sparkContext.getCheckpointDir()
+    if not base:
+        return False
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base.rstrip("/") + "/tables")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(path) and fs.delete(path, True))

@@ -26,3 +26,16 @@ def test_catalog_lifecycle(spark):
     tables.drop_view(spark, "v_tmp")
     assert not spark.catalog.tableExists("v_tmp")
     tables.reset_database(spark, "propensity_test")
+
+
+def test_clear_scratch_removes_only_own_tables(spark):
+    import os
+    from propensity.operators.sampling import materialize
+    from propensity.session import clear_scratch, scratch_path
+    t = materialize(spark.range(10), "scratch-test")
+    assert t.count() == 10
+    root = scratch_path(spark, "")
+    assert os.path.isdir(root.replace("file:", ""))
+    assert clear_scratch(spark) is True
+    assert not os.path.exists(root.replace("file:", ""))
+    assert os.path.isdir(spark.sparkContext.getCheckpointDir().replace("file:", ""))
