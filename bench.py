@@ -25,7 +25,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from propensity import schema as S  # noqa: E402
 from propensity.operators import features, profile, sampling, score  # noqa: E402
 from propensity.plans import workflow  # noqa: E402
-from propensity.session import build_session, scratch_path  # noqa: E402
+from propensity.session import build_session, clear_scratch, scratch_path  # noqa: E402
 from propensity.plans.registry import staged_prospects  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
@@ -100,6 +100,7 @@ def main():
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf,
                       "cpus": int(os.environ.get("BENCH_CPUS", "8")), "runs": RUNS}))
+    clear_scratch(spark)
     spark.stop()
 
 
