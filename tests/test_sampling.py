@@ -159,3 +159,19 @@ def test_rebalance_tiny_class_heavy_copies_exact(spark):
     per_id = out.where("Response = 1").groupBy("id").agg(
         F.count(F.lit(1)).alias("n"), F.max("copy").alias("mx"), F.countDistinct("copy").alias("d")).collect()
     assert all(r.n == r.mx == r.d for r in per_id) and sum(r.n for r in per_id) == 20000
+
+
+def test_index_partitions_grow_with_input_and_are_capped(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert sampling._index_partitions(spark.range(100).repartition(3)) == 8
+        assert sampling._index_partitions(spark.range(100).repartition(40)) == 40
+        old = sampling.MAX_INDEX_PARTITIONS
+        sampling.MAX_INDEX_PARTITIONS = 16
+        try:
+            assert sampling._index_partitions(spark.range(100).repartition(40)) == 16
+        finally:
+            sampling.MAX_INDEX_PARTITIONS = old
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
