@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from propensity.functions.encode import encode
+from propensity.functions.encode import encode, factor_codes
 from propensity.operators import features, profile, sampling
 from propensity.sources.fixture import prospects
 from conftest import SF001
@@ -34,12 +34,17 @@ def base(spark):
     return features.prepare(prospects(spark, SF001))
 
 
-@pytest.mark.parametrize("name", ["region", "shares", "corr", "describe", "poisson", "stratified",
-                                  "encode", "hist", "box", "rebalance"])
+@pytest.mark.parametrize("name", ["region", "shares", "shares_r", "corr", "describe", "poisson",
+                                  "stratified", "split", "encode", "factors", "hist", "box",
+                                  "rebalance", "sample"])
 def test_operator_plans(spark, base, name):
     build = {
         "region": lambda: profile.region_opportunity(base),
         "shares": lambda: profile.category_share(base),
+        "shares_r": lambda: profile.category_share(base, mode="fraction2"),
+        "split": lambda: sampling.split(base),
+        "factors": lambda: factor_codes(base, ["Gender", "Vehicle_Age", "Vehicle_Damage"]),
+        "sample": lambda: sampling.sample_n(base, 100),
         "corr": lambda: profile.correlation_long(base),
         "describe": lambda: profile.describe_numeric(base),
         "poisson": lambda: sampling.rebalance_poisson(base),
