@@ -34,7 +34,7 @@ from propensity.llm.common import unit_hash
 BITS = 18
 DIMENSIONS = 1 << BITS          # bound of the model: 2^18 coordinates
 TRAIN_ROWS = 16_384             # bound of the labelled sample
-ALPHA, BETA, L1, L2, EPOCHS = 0.1, 1.0, 2.0, 1.0, 3
+ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 6.0, 0.0, 5
 _WORD = re.compile(rb"[0-9A-Za-z_\x80-\xff]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
