@@ -97,7 +97,7 @@ def items_of(bench: DataFrame, item: str = "item_id", text: str = "text") -> Dat
     w = F.coalesce(*[F.when(size == k, shingles("t", k)) for k in range(1, SHINGLE + 1)])
     return (tokens.select("item", size.alias("size"), w.alias("w"))
             .withColumn("n", F.size("w"))
-            .withColumn("need", F.ceil(F.lit(2 * SIMILARITY / (1 + SIMILARITY)) * F.col("n") - 1e-9)))
+            .withColumn("need", F.ceil(F.lit(SIMILARITY) * F.col("n") - 1e-9)))
 
 
 def leaks(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "text",
