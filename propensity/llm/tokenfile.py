@@ -38,9 +38,11 @@ from propensity.llm.common import discard, staged
 
 MAX_BITS = 18
 EVERY = 512
-BLOCK_TOKENS = 1 << 16
+BLOCK_TOKENS = 1 << 20
 MEMORY_WORDS = 1 << 20
+MAX_BROADCAST_PARTS = 1 << 20      # 16 MB; with more parts the join is left to Spark
 _UNEVEN = re.compile(r"\s | \s|^ | $")
+_LATIN_WORD = re.compile("( ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+)([.,;:!?*%$#&]*)")    # all letters below U+0250
 
 
 # ------------------------------------------------------------------ tokenizing
@@ -60,13 +62,42 @@ class Encoder:
         self.dtype = dtype
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        # A word of Latin letters, then marks, is split there by the library; the
+        # spelling of its bytes is asked of the library once per byte.
+        self.byte_level = type(self.full.pre_tokenizer).__name__ == "ByteLevel"
+        self.spelling = {}
+        if self.byte_level:
+            for byte in range(128):
+                self.spelling[byte] = "".join(x for x, _ in self.split("x" + chr(byte)))[1:]
+            for code in range(0x80, 0x250):
+                for value, shown in zip(chr(code).encode(), self.split(chr(code))[0][0]):
+                    self.spelling[value] = shown
+
+    @classmethod
+    def of(cls, definition: str, dtype: str) -> "Encoder":
+        """The worker process' own encoder: its memory outlives a task."""
+        import tokenizers
+        kept = vars(tokenizers).setdefault("_kept_encoders", {})
+        key = (zlib.crc32(definition.encode()), len(definition), dtype)
+        if key not in kept:
+            kept.clear()
+            kept[key] = cls(definition, dtype)
+        return kept[key]
 
     def _ids(self, ids) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
+    def _split(self, word: str) -> list[str]:
+        if self.byte_level and word and max(word) < "\u0250":
+            latin = _LATIN_WORD.fullmatch(word)
+            if latin:
+                return [part.encode().decode("latin-1").translate(self.spelling)
+                        for part in latin.groups() if part]
+        return [piece for piece, _ in self.split(word)]
+
     def _word(self, word: str) -> bytes:
         out = []
-        for piece, _ in self.split(word):
+        for piece in self._split(word):
             known = self.pieces.get(piece)
             if known is None:
                 known = self.pieces[piece] = self._ids([t.id for t in self.model(piece)])
@@ -96,30 +127,36 @@ class Encoder:
         return self._word(first) + b"".join(found)
 
 
-def _tokenize(definition, dtype, end_id):
+def _tokenize(definition, dtype, end_id, size):
+    """Rows (doc_id, ids, counted False); each task ends with one row of its id counts."""
     def run(batches):
-        encoder = Encoder(definition.value, dtype)
+        encoder = Encoder.of(definition.value, dtype)
         end = np.array([end_id], dtype).tobytes()
+        total, kind = np.zeros(size, np.int64), None
         for batch in batches:
+            kind = batch.schema.field("doc_id").type
             ids = [encoder.encode(t.as_py() or "") + end for t in batch.column("text")]
+            for at in range(0, len(ids), 512):
+                part = np.frombuffer(b"".join(ids[at:at + 512]), dtype)
+                total += np.bincount(part, minlength=size)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(ids, pa.binary()),
+                 pa.array(np.zeros(len(ids), bool))], names=["doc_id", "ids", "counted"])
+        if kind is not None:
+            used = np.flatnonzero(total)
+            pairs = np.column_stack([used, total[used]]).astype("<i8").tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+                [pa.array([None], kind), pa.array([pairs], pa.binary()), pa.array([True])],
+                names=["doc_id", "ids", "counted"])
     return run
 
 
-def _count(dtype, size):
-    def run(batches):
-        total = np.zeros(size, np.int64)
-        for batch in batches:
-            for ids in batch.column(0):
-                block = np.frombuffer(ids.as_buffer(), dtype)
-                total += np.bincount(block, minlength=size) if len(block) * 8 > size else 0
-                if len(block) * 8 <= size:
-                    np.add.at(total, block, 1)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])],
-                                         names=["id", "n"])
-    return run
+def _unpack_counts(batches):
+    for batch in batches:
+        for pairs in batch.column(0):
+            table = np.frombuffer(pairs.as_buffer(), "<i8").reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(table[:, 0].copy()), pa.array(table[:, 1].copy())],
+                                             names=["id", "n"])
 
 
 # ------------------------------------------------------------- the Huffman code
@@ -162,22 +199,33 @@ class Code:
         order = used[np.lexsort((used, lengths[used]))]
         step = np.int64(1) << (self.bits - lengths[order])
         starts = np.cumsum(step) - step              # codes, left-aligned to ``bits``
-        width = np.arange(self.bits)
-        self.rows = np.zeros((len(lengths), self.bits), np.uint8)
-        self.rows[order] = (starts[:, None] >> (self.bits - 1 - width)) & 1
-        self.used = width[None, :] < lengths[:, None]
+        self.left = np.zeros(len(lengths), np.uint64)    # codes, left-aligned to 64 bits
+        self.left[order] = starts.astype(np.uint64) << np.uint64(64 - self.bits)
         self.symbol = np.zeros(1 << self.bits, np.uint32)
         self.symbol[:int(step.sum())] = np.repeat(order, step)
 
-    def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """Bit string and the bit offset of every ``EVERY``-th id."""
-        ends = np.cumsum(self.lengths[ids], dtype=np.int64)
-        out = []
-        for at in range(0, len(ids), 1 << 16):       # bounded expansion
-            part = ids[at:at + (1 << 16)]
-            out.append(self.rows[part][self.used[part]])
-        marks = (ends - self.lengths[ids])[::EVERY]
-        return np.packbits(np.concatenate(out)).tobytes(), marks
+    def encode(self, ids: np.ndarray, sizes: np.ndarray):
+        """Bit strings of consecutive documents of ``sizes`` ids, each from a byte
+        bound: (all bytes, first byte of each document, bit offset of every
+        ``EVERY``-th id of a document counted from its start)."""
+        length = self.lengths[ids].astype(np.int64)
+        ends = np.cumsum(length)
+        last = np.cumsum(sizes) - 1
+        first = last + 1 - sizes
+        bits = ends[last] - ends[first] + length[first]
+        start = np.cumsum(-(-bits // 8)) * 8 - -(-bits // 8) * 8
+        within = ends - length - np.repeat(ends[first] - length[first], sizes)
+        at = within + np.repeat(start, sizes)
+        word, shift = at >> 6, (at & 63).astype(np.uint64)
+        code = self.left[ids]
+        heads = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+        packed = np.zeros(int(word[-1]) + 2, np.uint64)
+        packed[word[heads]] = np.add.reduceat(code >> shift, heads)   # disjoint bits: sum is union
+        over = np.flatnonzero((at & 63) + length > 64)
+        packed[word[over] + 1] |= code[over] << (np.uint64(64) - shift[over])
+        total = int(start[-1] + bits[-1] + 7) // 8
+        marks = within[(np.arange(len(ids)) - np.repeat(first, sizes)) % EVERY == 0]
+        return packed.astype(">u8").tobytes()[:total], start // 8, marks
 
     def decode(self, payload: bytes, marks: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
         """Ids from each bit offset on: ``counts`` of them, all lanes together."""
@@ -205,15 +253,22 @@ def _encode(code, dtype):
     def run(batches):
         own = Code(code.value)
         for batch in batches:
-            n, bits, marks = [], [], []
-            for ids in batch.column("ids"):
-                block = np.frombuffer(ids.as_buffer(), dtype)
-                payload, offsets = own.encode(block)
-                n.append(len(block))
-                bits.append(payload)
-                marks.append(offsets.astype("<u4").tobytes())
+            column = batch.column("ids")
+            sizes = np.array([len(x.as_buffer()) for x in column], np.int64) // np.dtype(dtype).itemsize
+            groups = np.cumsum(sizes) // BLOCK_TOKENS          # bounded expansion
+            bits, marks = [], []
+            for at in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(groups)) + 1):
+                if not len(at):
+                    continue
+                some = sizes[at]
+                ids = np.frombuffer(b"".join(column[i].as_buffer() for i in at.tolist()), dtype)
+                payload, start, offsets = own.encode(ids, some)
+                stop = np.append(start[1:], len(payload)).tolist()
+                bits += [payload[a:b] for a, b in zip(start.tolist(), stop)]
+                lanes = np.cumsum(-(-some // EVERY))
+                marks += [x.astype("<u4").tobytes() for x in np.split(offsets, lanes[:-1])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(bits, pa.binary()),
+                [batch.column("doc_id"), pa.array(sizes), pa.array(bits, pa.binary()),
                  pa.array(marks, pa.binary())], names=["doc_id", "n", "bits", "marks"])
     return run
 
@@ -273,9 +328,11 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, path: str, end_id: i
     rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     field = rows.schema["doc_id"]
     kind = field.dataType.simpleString()
-    ids, ids_path = staged(rows.mapInArrow(_tokenize(definition, dtype, end_id),
-                                           f"doc_id {kind}, ids binary"), "token-ids")
-    counted = (ids.select("ids").mapInArrow(_count(dtype, size), "id long, n long")
+    found, ids_path = staged(rows.mapInArrow(_tokenize(definition, dtype, end_id, size),
+                                             f"doc_id {kind}, ids binary, counted boolean"),
+                             "token-ids")
+    ids = found.where("not counted").drop("counted")
+    counted = (found.where("counted").select("ids").mapInArrow(_unpack_counts, "id long, n long")
                .groupBy("id").agg(F.sum("n").alias("n")).toPandas())   # one row per id
     counts = np.zeros(size, np.int64)
     counts[counted["id"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
@@ -338,7 +395,8 @@ def read_token_files(spark, path: str, digest: bool = False) -> DataFrame:
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (blocks.groupBy("part").agg(F.sum("tokens").alias("tokens"))   # one row per part
                .select("part", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("base")))
-    placed = blocks.join(offsets, "part").select(
+    small = offsets.count() <= MAX_BROADCAST_PARTS
+    placed = blocks.join(F.broadcast(offsets) if small else offsets, "part").select(
         (F.col("base") + F.col("before")).alias("start"), "doc_ids", "sizes", "marks", "payload")
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     decoded = _decode(spark.sparkContext.broadcast(lengths))
