@@ -27,7 +27,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +43,28 @@ EVERY = 512
 BLOCK_TOKENS = 1 << 20
 MEMORY_WORDS = 1 << 20
 MAX_BROADCAST_PARTS = 1 << 20      # 16 MB; with more parts the join is left to Spark
-_UNEVEN = re.compile(r"\s | \s|^ | $")
-_LATIN_WORD = re.compile("( ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+)([.,;:!?*%$#&]*)")    # all letters below U+0250
+# White space besides space and newline; all letters below U+0250.
+_RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_LETTERS, _MARKS = "[A-Za-zªµºÀ-ÖØ-öø-ɏ]+", "[.,;:!?*%$#&|]"
+_LATIN = re.compile(f"( ?{_LETTERS})({_MARKS}*)(?:(\n)({_LETTERS})({_MARKS}*))?|( ?{_MARKS}+)")
 
 
 # ------------------------------------------------------------------ tokenizing
 
+class _Memory(dict):
+    """Word (without its leading space) to ids; learns until it is full."""
+
+    def __init__(self, solve):
+        super().__init__()
+        self.solve = solve
+
+    def __missing__(self, word):
+        ids = self.solve(" " + word)
+        if len(self) < MEMORY_WORDS:
+            self[word] = ids
+        return ids
+
+
 class Encoder:
     """Texts to ids with a bounded memory of words already seen."""
 
@@ -56,19 +74,18 @@ class Encoder:
         self.full = Tokenizer.from_str(definition)
         self.split = self.full.pre_tokenizer.pre_tokenize_str
         self.model = self.full.model.tokenize
-        added = [t.content for t in self.full.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, added))) if added else None
-        self.plain = self.full.normalizer is None
-        self.dtype = dtype
-        self.words: dict[str, bytes] = {}
+        self.added = [t.content for t in self.full.get_added_tokens_decoder().values()]
+        self.kind = np.dtype(dtype).itemsize == 2 and "H" or "I"
+        self.words = _Memory(self._word)
         self.pieces: dict[str, bytes] = {}
-        # A word of Latin letters, then marks, is split there by the library; the
-        # spelling of its bytes is asked of the library once per byte.
-        self.byte_level = type(self.full.pre_tokenizer).__name__ == "ByteLevel"
+        # Byte-level splitting parts a word of Latin letters from marks and line ends;
+        # how it spells each byte is asked of the library once.
+        self.byte_level = (self.full.normalizer is None
+                           and type(self.full.pre_tokenizer).__name__ == "ByteLevel")
         self.spelling = {}
         if self.byte_level:
-            for byte in range(128):
-                self.spelling[byte] = "".join(x for x, _ in self.split("x" + chr(byte)))[1:]
+            for code in range(128):
+                self.spelling[code] = "".join(x for x, _ in self.split("x" + chr(code)))[1:]
             for code in range(0x80, 0x250):
                 for value, shown in zip(chr(code).encode(), self.split(chr(code))[0][0]):
                     self.spelling[value] = shown
@@ -85,46 +102,39 @@ class Encoder:
         return kept[key]
 
     def _ids(self, ids) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        packed = array(self.kind, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
-    def _split(self, word: str) -> list[str]:
-        if self.byte_level and word and max(word) < "\u0250":
-            latin = _LATIN_WORD.fullmatch(word)
-            if latin:
-                return [part.encode().decode("latin-1").translate(self.spelling)
-                        for part in latin.groups() if part]
-        return [piece for piece, _ in self.split(word)]
+    def _piece(self, part: str, spelled: str) -> bytes:
+        ids = self._ids([t.id for t in self.model(spelled)])
+        if len(self.pieces) < MEMORY_WORDS:
+            self.pieces[part] = ids
+        return ids
 
     def _word(self, word: str) -> bytes:
+        latin = _LATIN.fullmatch(word) if self.byte_level else None
+        if latin is None:
+            return b"".join(self._ids([t.id for t in self.model(piece)])
+                            for piece, _ in self.split(word)) if word else b""
         out = []
-        for piece in self._split(word):
-            known = self.pieces.get(piece)
-            if known is None:
-                known = self.pieces[piece] = self._ids([t.id for t in self.model(piece)])
-            out.append(known)
+        for part in latin.groups():
+            if part:
+                out.append(self.pieces.get(part) or self._piece(
+                    part, part.encode().decode("latin-1").translate(self.spelling)))
         return b"".join(out)
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if (not self.plain or _UNEVEN.search(text)
-                or (self.special is not None and self.special.search(text))):
+        if (not self.byte_level or "  " in text or " \n" in text or "\n " in text
+                or text[0].isspace() or text[-1].isspace() or _RARE_SPACE.search(text)
+                or any(token in text for token in self.added)):
             return self._ids(self.full.encode(text, add_special_tokens=False).ids)
         # A single space between non-space characters always opens a new word.
         first, *rest = text.split(" ")
-        found = list(map(self.words.get, rest))
-        if None in found:
-            if len(self.words) > MEMORY_WORDS:
-                self.words.clear()
-                self.pieces.clear()
-            for i, known in enumerate(found):
-                if known is None:
-                    word = rest[i]
-                    known = self.words.get(word)
-                    if known is None:
-                        known = self.words[word] = self._word(" " + word)
-                    found[i] = known
-        return self._word(first) + b"".join(found)
+        return self._word(first) + b"".join(map(self.words.__getitem__, rest))
 
 
 def _tokenize(definition, dtype, end_id, size):
