@@ -28,28 +28,25 @@ def encode(df: DataFrame, maps: dict = S.ENCODERS, prefix: str = "x_",
     return df.withColumns({f"{prefix}{c}": map_code(c, m, on_unseen) for c, m in maps.items()})
 
 
-def factor_codes(df: DataFrame, cols: list[str], base: int = 1, max_levels: int = 10_000) -> DataFrame:
+def factor_codes(df: DataFrame, cols: list[str], base: int = 1) -> DataFrame:
     """Codes by alphabetical (binary / code point) order of the distinct
     values, starting at ``base``; NULL stays NULL.  The levels of all columns
-    come from one pass (unpivot, distinct); they are bounded by
-    ``max_levels`` per column (checked) and inlined as literal maps."""
+    come from one pass (unpivot, distinct), are ranked by the distributed
+    index and joined back by value, however many there are."""
+    from ..operators.sampling import dense_index, materialize
+
     if not cols:
         return df
-    limit = max_levels * len(cols)
     levels = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
-              .unpivot([], cols, "name", "value").where(F.col("value").isNotNull())
-              .distinct().limit(limit + 1).collect())
-    by_col: dict[str, list[str]] = {c: [] for c in cols}
-    for r in levels:
-        by_col[r["name"]].append(r["value"])
-    out = {}
-    for c in cols:
-        if len(by_col[c]) > max_levels or len(levels) > limit:
-            raise ValueError(f"factor_codes: {c} has more than {max_levels} levels")
-        pairs = [x for i, v in enumerate(sorted(by_col[c])) for x in (F.lit(v), F.lit(i + base))]
-        code = F.try_element_at(F.create_map(*pairs), F.col(c).cast("string")) if pairs else F.lit(None)
-        out[c] = code.cast("int")
-    return df.withColumns(out)
+              .unpivot([], cols, "name", "value").where(F.col("value").isNotNull()).distinct())
+    ranked = materialize(dense_index(levels, ["name"], ["value"], name="code"), "levels")
+    out = df
+    for i, c in enumerate(cols):
+        mine = ranked.where(F.col("name") == c).select(
+            F.col("value").alias(f"_v{i}"), (F.col("code") + base).cast("int").alias(f"_f{i}"))
+        out = out.join(mine, F.col(c).cast("string") == F.col(f"_v{i}"), "left")
+    return out.select(*[F.col(f"_f{cols.index(c)}").alias(c) if c in cols else F.col(c)
+                        for c in df.columns])
 
 
 def pack(df: DataFrame, cols: list[str], name: str = "features") -> DataFrame:

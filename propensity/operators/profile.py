@@ -9,12 +9,11 @@ sizes) arrive as scalar subqueries, never through an unpartitioned window.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
-from ..functions.exact import exact_mean, exact_sum
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -32,15 +31,16 @@ def numeric_columns(df: DataFrame, exclude=S.DESCRIBE_EXCLUDE) -> list[str]:
             if f.name not in exclude and isinstance(f.dataType, NUMERIC_TYPES)]
 
 
-def describe_numeric(df: DataFrame, cols: list[str] | None = None, digits: int = 6) -> DataFrame:
+def describe_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """A3: count, mean, sample stddev, min, max per column, one pass, long form
-    (feature, count, mean, stddev, min, max) with typed doubles."""
+    (feature, count, mean, stddev, min, max) with typed doubles.  NULL and NaN
+    are missing values: in none of the five."""
     cols = cols if cols is not None else numeric_columns(df)
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__n"), F.round(exact_mean(x), digits).alias(f"{c}__mean"),
-                 F.round(F.stddev_samp(x), digits).alias(f"{c}__sd"),
+        x = F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+        aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"),
+                 F.stddev_samp(x).alias(f"{c}__sd"),
                  F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     wide = df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"{c}__n").alias("count"),
@@ -111,21 +111,50 @@ def category_share(df: DataFrame, cols: list[str] = S.SHARE_COLUMNS,
     return out.orderBy("name", "prc", "value")
 
 
-# Spark stops generating code for an aggregation whose buffers exceed
-# spark.sql.codegen.maxFields (100); statistics are packed below that.
-MAX_AGG_FIELDS = 96
-
-
-def correlation_long(df: DataFrame, cols: list[str] | None = None, digits: int | None = 2,
+def _pair_moments(cols: list[str]):
+    """Per task: for every column pair (i <= j) the count, means and central
+    moments over rows where both are present, from matrix products per batch."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        k = len(cols)
+        shift, n, sx, sxx, sxy = None, *(np.zeros((k, k)) for _ in range(4))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            if not len(x):
+                continue
+            m = ~np.isnan(x)
+            if shift is None:   # near the data: keeps the sums of squares well conditioned
+                shift = np.array([x[m[:, i], i][0] if m[:, i].any() else 0.0 for i in range(k)])
+            x = np.where(m, x - shift, 0.0)
+            m = m.astype(float)
+            n += m.T @ m
+            sx += x.T @ m
+            sxx += (x * x).T @ m
+            sxy += x.T @ x
+        if shift is None:
+            return
+        i, j = np.triu_indices(k)
+        c = np.maximum(n[i, j], 1)
+        out = [i, j, n[i, j], sx[i, j] / c + shift[i], sx[j, i] / c + shift[j],
+               sxx[i, j] - sx[i, j] ** 2 / c, sxx[j, i] - sx[j, i] ** 2 / c,
+               sxy[i, j] - sx[i, j] * sx[j, i] / c]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(v.astype(np.int32 if at < 2 else float)) for at, v in enumerate(out)],
+            names=["i", "j", "n", "mx", "my", "xx", "yy", "xy"])
+    return run
+
+
+def correlation_long(df: DataFrame, cols: list[str] | None = None,
                      factors: bool = False) -> DataFrame:
     """Pearson correlation of every column pair, long form
     (col1, col2, value), pairwise-complete like pandas / SQL corr().
 
-    r = covar_samp(a, b) / (sd(a | b present) sd(b | a present)); a constant
-    column gives NULL (plain corr() raises division by zero under ANSI mode).
-    Pair statistics are packed into aggregations of at most MAX_AGG_FIELDS
-    buffer fields so each stays in whole-stage generated code; the packs are
-    independent one-row aggregates whose long rows are unioned.
+    One pass over the table whatever the number of columns: every task
+    reduces its rows to one row of moments per pair, and these are merged by
+    the parallel-variance formula.  NULL and NaN are missing; a pair in which
+    a column does not vary gives NULL.
 
     ``factors=True`` (R form) first replaces string columns by their 1-based
     alphabetical codes and includes them."""
@@ -137,45 +166,30 @@ def correlation_long(df: DataFrame, cols: list[str] | None = None, digits: int |
         if cols is None:
             cols = [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES)]
     cols = cols if cols is not None else numeric_columns(df, exclude=[])
-    x = {c: F.col(c).cast("double") for c in cols}
-
-    def rnd(v):
-        return F.round(v, digits) if digits is not None else v
-
-    def lit_name(c):
-        return F.lit(c)
-
-    # Diagonal: 1 where the column varies, NULL for constant / single-value columns.
-    per_col = 3  # stddev_samp buffer: n, avg, m2
-    parts = []
-    for i in range(0, len(cols), MAX_AGG_FIELDS // per_col):
-        chunk = cols[i:i + MAX_AGG_FIELDS // per_col]
-        wide = df.agg(*[F.stddev_samp(x[c]).alias(f"d{j}") for j, c in enumerate(chunk)])
-        rows = [F.struct(lit_name(c).alias("col1"), lit_name(c).alias("col2"),
-                         F.when(F.col(f"d{j}") > 0, F.lit(1.0)).alias("value"))
-                for j, c in enumerate(chunk)]
-        parts.append(wide.select(F.inline(F.array(*rows))))
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    per_pair = 4 + 3 + 3  # covar_samp + two pairwise stddev_samp buffers
-    step = MAX_AGG_FIELDS // per_pair
-    for i in range(0, len(pairs), step):
-        chunk = pairs[i:i + step]
-        aggs = []
-        for j, (a, b) in enumerate(chunk):
-            aggs += [F.covar_samp(x[a], x[b]).alias(f"c{j}"),
-                     F.stddev_samp(F.when(x[b].isNotNull(), x[a])).alias(f"sa{j}"),
-                     F.stddev_samp(F.when(x[a].isNotNull(), x[b])).alias(f"sb{j}")]
-        wide = df.agg(*aggs)
-        rows = []
-        for j, (a, b) in enumerate(chunk):
-            v = rnd(F.try_divide(F.col(f"c{j}"), F.col(f"sa{j}") * F.col(f"sb{j}")))
-            rows.append(F.struct(lit_name(a).alias("col1"), lit_name(b).alias("col2"), v.alias("value")))
-            rows.append(F.struct(lit_name(b).alias("col1"), lit_name(a).alias("col2"), v.alias("value")))
-        parts.append(wide.select(F.inline(F.array(*rows))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    parts = (df.select(*[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(cols)])
+             .mapInArrow(_pair_moments(cols), "i int, j int, n double, mx double, my double, "
+                                              "xx double, yy double, xy double")
+             .where("n > 0"))
+    pair = Window.partitionBy("i", "j")      # one row per task and pair
+    centred = parts.select(
+        "*", (F.sum(F.col("n") * F.col("mx")).over(pair) / F.sum("n").over(pair)).alias("gx"),
+        (F.sum(F.col("n") * F.col("my")).over(pair) / F.sum("n").over(pair)).alias("gy"))
+    dx, dy = F.col("mx") - F.col("gx"), F.col("my") - F.col("gy")
+    merged = centred.groupBy("i", "j").agg(
+        F.sum(F.col("xx") + F.col("n") * dx * dx).alias("xx"),
+        F.sum(F.col("yy") + F.col("n") * dy * dy).alias("yy"),
+        F.sum(F.col("xy") + F.col("n") * dx * dy).alias("xy"),
+        ((F.max("xx") > 0) | (F.min("mx") < F.max("mx"))).alias("vx"),
+        ((F.max("yy") > 0) | (F.min("my") < F.max("my"))).alias("vy"))
+    value = F.when(F.col("vx") & F.col("vy"),
+                   F.when(F.col("i") == F.col("j"), F.lit(1.0))
+                   .otherwise(F.col("xy") / F.sqrt(F.col("xx") * F.col("yy"))))
+    names = F.array(*[F.lit(c) for c in cols])
+    a, b = F.element_at(names, F.col("i") + 1), F.element_at(names, F.col("j") + 1)
+    both = F.struct(a.alias("col1"), b.alias("col2"), value.alias("value"))
+    turned = F.struct(b.alias("col1"), a.alias("col2"), value.alias("value"))
+    rows = F.when(F.col("i") == F.col("j"), F.array(both)).otherwise(F.array(both, turned))
+    return merged.select(F.inline(rows))
 
 
 def histogram_by(df: DataFrame, col: str, label: str = S.LABEL, bins: int = 30) -> DataFrame:
@@ -202,7 +216,7 @@ def region_opportunity(df: DataFrame) -> DataFrame:
     extra."""
     return df.groupBy(F.col("Region_Code").alias("region_code")).agg(
         F.count(F.lit(1)).alias("region_prospects"),
-        exact_sum("Annual_Premium").alias("total_annual_premium"),
+        F.sum("Annual_Premium").alias("total_annual_premium"),
         F.sum("Claims_Amount").cast("bigint").alias("total_claims_amount"),
         F.sum("Claims_Num").cast("bigint").alias("total_claims_count"),
     )
@@ -219,8 +233,7 @@ def region_bubble(regions: DataFrame) -> DataFrame:
     cnt = F.col("total_claims_count")
     return regions.select(
         "region_code", "region_prospects", "total_annual_premium", "total_claims_count",
-        # 9 decimals: log10 implementations may differ in the last bit.
-        F.round(F.when(cnt > 0, F.log10(cnt.cast("double"))), 9).alias("log10_claims_count"))
+        F.when(cnt > 0, F.log10(cnt.cast("double"))).alias("log10_claims_count"))
 
 
 def feature_by_label(df: DataFrame, feature: str, label: str = S.LABEL) -> DataFrame:
@@ -246,38 +259,35 @@ def box_by(df: DataFrame, col: str, label: str = S.LABEL, key: str = S.KEY) -> D
     Exact quantiles come from the distributed contiguous index (range
     partitioning on (label, x)), not from a collect-all percentile aggregate,
     so a class holding most rows is still spread over many tasks."""
-    from .sampling import SmallLookup, dense_index, group_sizes
+    from .sampling import dense_index, group_key, materialize
 
     # A unique tiebreaker after x: a frequent value (e.g. a zero amount) is
     # otherwise one range key that a single task would receive whole.
     tie = F.col(key) if key in df.columns else F.monotonically_increasing_id()
     base = (df.select(F.col(label), F.col(col).cast("double").alias("_x"), tie.alias("_t"))
             .where(F.col("_x").isNotNull()))
-    idx = dense_index(base, [label], ["_x", "_t"], name="_i")
-    m = group_sizes(idx, [label])("_m")
+    idx = materialize(dense_index(base, [label], ["_x", "_t"], name="_i")
+                      .select(label, "_x", "_i", group_key([label]).alias("_g")), "ranked-values")
+    x, m = F.col("_x"), F.col("_m")
+    totals = idx.groupBy("_g").agg(F.count(F.lit(1)).alias("_m"))
     probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    picks, conds = [], []
+    picks, wanted = [], []
     for name, p in probs.items():
         h = F.lit(p) * (m - F.lit(1)).cast("double")
         lo_i, hi_i = F.floor(h), F.ceil(h)
-        conds += [F.col("_i") == lo_i, F.col("_i") == hi_i]
-        lo_v = F.max(F.when(F.col("_i") == lo_i, F.col("_x")))
-        hi_v = F.max(F.when(F.col("_i") == hi_i, F.col("_x")))
+        wanted += [lo_i, hi_i]
+        lo_v = F.max(F.when(F.col("_i") == lo_i, x))
+        hi_v = F.max(F.when(F.col("_i") == hi_i, x))
         picks.append((lo_v + (F.max(h) - F.max(lo_i)) * (hi_v - lo_v)).alias(name))
-    keep = conds[0]
-    for cnd in conds[1:]:
-        keep = keep | cnd
-    # At most 6 rows per label survive the filter.
-    quart = SmallLookup(idx.where(keep).groupBy(label).agg(*picks), [label],
-                        {k: "double" for k in probs}, "box_by")
-    q1, q3 = quart("q1"), quart("q3")
-    iqr = q3 - q1
-    lf, uf = q1 - F.lit(1.5) * iqr, q3 + F.lit(1.5) * iqr
-    x = F.col("_x")
-    return (idx.withColumns({"_lf": lf, "_uf": uf}).groupBy(label).agg(
+    # At most 6 ranks per label: the rows are found by rank, not sorted again.
+    ranks = totals.select("_g", "_m", F.explode(F.array_distinct(F.array(*wanted))).alias("_i"))
+    quart = materialize(idx.join(ranks, ["_g", "_i"]).groupBy("_g").agg(*picks), "quartiles")
+    iqr = F.col("q3") - F.col("q1")
+    lf, uf = F.col("q1") - F.lit(1.5) * iqr, F.col("q3") + F.lit(1.5) * iqr
+    return (idx.join(quart, "_g").withColumns({"_lf": lf, "_uf": uf}).groupBy(label).agg(
         F.count(F.lit(1)).alias("n"), F.min(x).alias("min"),
-        F.first(q1).alias("q1"), F.first(quart("median")).alias("median"),
-        F.first(q3).alias("q3"), F.max(x).alias("max"),
+        F.first("q1").alias("q1"), F.first("median").alias("median"),
+        F.first("q3").alias("q3"), F.max(x).alias("max"),
         F.min(F.when(x >= F.col("_lf"), x)).alias("whisker_low"),
         F.max(F.when(x <= F.col("_uf"), x)).alias("whisker_high"),
         F.count_if((x < F.col("_lf")) | (x > F.col("_uf"))).alias("outliers")))

@@ -1,10 +1,10 @@
 """Resampling and splitting with keyed randomness.
 
-Per-class statistics (sizes, index offsets) are aggregates bounded by
-(classes x range partitions); they are fetched once with a checked size and
-reach the rows as literal maps.  No window spans a whole class and no row data
-is collected.  Every draw is a function of (key, salt), so results do not
-depend on partitioning, retries or lost executors.
+Per-class statistics (sizes, index offsets, cuts, Poisson tables) stay
+DataFrames and reach the rows by unhinted joins on the class, so their number
+is not limited and Spark sizes each join.  No window spans a whole class and
+no row data is collected.  Every draw is a function of (key, salt), so results
+do not depend on partitioning, retries or lost executors.
 """
 
 from __future__ import annotations
@@ -18,81 +18,32 @@ from .. import schema as S
 from ..functions.keyed import hash_order, u
 from ..session import scratch_path
 
-# Largest per-class statistics map shipped inside a plan.
-MAX_MAP_ENTRIES = 100_000
 # Draws generated per task chunk, and copies of one row expanded per task.
 DRAW_CHUNK = 1 << 20
 COPY_CHUNK = 1 << 12
-
-
-# Upper bound on range partitions of a dense index (its offsets map has at
-# most partitions + groups entries).
-MAX_INDEX_PARTITIONS = 20_000
+# Hex digits of the hash by which rows are counted to find a cut: 16^5 buckets
+# a class, so the bucket that holds the cut has about a millionth of its rows.
+CUT_DIGITS = 5
+# Draws use 52 bits: every index of a class has the same probability up to 2^-52.
+DRAW_DIGITS = 13
 
 
 def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _index_partitions(df: DataFrame) -> int:
-    """Range partitions for an index: at least the shuffle partitions, grown
-    with the input's own split count (a proxy for its size), capped."""
-    parts = _partitions(df)
-    try:
-        parts = max(parts, df.rdd.getNumPartitions())
-    except Exception:  # no RDD access on this client
-        pass
-    return min(parts, MAX_INDEX_PARTITIONS)
-
-
 def group_key(by: list[str]) -> Column:
     """Text key of a group; NULL fields get a marker so they form a group too."""
     return F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in by])
 
 
-class SmallLookup:
-    """Per-group statistics of an already aggregated frame, shipped to the
-    rows as literal maps keyed by ``group_key(by)``.
-
-    The aggregate is bounded by the number of groups; it is fetched once with
-    a checked size (at most ``limit`` rows, else an error), which is what a
-    scalar subquery would do, but evaluated exactly once per query."""
-
-    def __init__(self, agg: DataFrame, by: list[str], values: dict[str, str], what: str,
-                 limit: int = MAX_MAP_ENTRIES):
-        rows = agg.select(group_key(by).alias("_key"), *by, *values).limit(limit + 1).collect()
-        if len(rows) > limit:
-            raise ValueError(f"{what}: more than {limit} groups")
-        self.by, self.rows = by, rows
-        self.maps = {}
-        for v, typ in values.items():
-            pairs = [x for r in rows for x in (F.lit(r["_key"]), F.lit(r[v]).cast(typ))]
-            self.maps[v] = F.create_map(*pairs) if pairs else None
-        self.types = values
-
-    def __call__(self, value: str) -> Column:
-        m = self.maps[value]
-        if m is None:
-            return F.lit(None).cast(self.types[value])
-        return F.try_element_at(m, group_key(self.by))
-
-    def values(self, value: str) -> list:
-        return [r[value] for r in self.rows]
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: cuts lineage (a lost executor re-reads files instead of recomputing
     non-deterministic steps) and gives column-pruned scans afterwards."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def group_sizes(df: DataFrame, by: list[str]) -> SmallLookup:
-    """Row count per group (``lookup('_m')``), one aggregation."""
-    agg = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_m"))
-    return SmallLookup(agg, by, {"_m": "bigint"}, "group_sizes")
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def dense_index(df: DataFrame, by: list[str], order: list, name: str = "idx",
@@ -103,83 +54,118 @@ def dense_index(df: DataFrame, by: list[str], order: list, name: str = "idx",
     Range-partition on (by, order) so a large group spreads over many tasks,
     sort within partitions, tag rows with (partition id, position), write the
     result once (range boundaries come from sampling and must not be
-    recomputed), then add per-(group, partition) offsets from a prefix sum
-    over the tiny count table."""
-    parts = partitions or _index_partitions(df)
+    recomputed), then join the per-(group, partition) offsets, a prefix sum
+    over the count table with one row per pair."""
     ocols = {f"_o{i}": (F.col(c) if isinstance(c, str) else c) for i, c in enumerate(order)}
     okeys = list(ocols)
     tagged = (df.withColumns(ocols)
-              .repartitionByRange(parts, *by, *okeys)
+              .repartitionByRange(partitions or _partitions(df), *by, *okeys)
               .sortWithinPartitions(*by, *okeys)
+              .withColumn("_g", group_key(by))
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id())
               .drop(*okeys))
     t = materialize(tagged, "dense-index")
-    stats = t.groupBy(*by, "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first"))
-    # (group, partition) pairs: at most partitions + groups - 1 rows.
-    offsets = SmallLookup(stats, [*by, "_pid"], {"_off": "bigint"}, "dense_index")
-    return t.withColumn(name, F.col("_mid") + offsets("_off")).drop("_pid", "_mid")
-
-
-def expand_copies(df: DataFrame, count: str, out: str = "copy", keys: list[str] | None = None,
-                  heavy: bool = True, chunk: int = COPY_CHUNK) -> DataFrame:
-    """Replace each row by ``count`` copies numbered 1..count (rows with
-    count < 1 vanish).
-
-    With ``heavy``, rows needing more than ``chunk`` copies are first split
-    into chunks that are hash-spread over tasks, so one heavily drawn row
-    never expands inside a single task.  Callers pass ``heavy=False`` only
-    when class sizes show no row can need that many copies."""
+    stats = t.groupBy("_g", "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    before = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stats.select("_g", "_pid", (F.coalesce(F.sum("_n").over(before), F.lit(0))
+                                          - F.col("_first")).alias("_off"))
+    return (t.join(offsets, ["_g", "_pid"])
+            .select(*df.columns, (F.col("_mid") + F.col("_off")).alias(name)))
+
+
+def smallest_by_hash(df: DataFrame, by: list[str], key: list[str], salt: str, want) -> DataFrame:
+    """``df`` plus a boolean ``_in``: whether a row is among the first
+    ``want(group size)`` rows of its ``by`` group in order of md5(key:salt), key.
+
+    Rows are neither sorted nor moved: count by hash prefix, take the bucket
+    in which the cut falls, rank only that bucket's (hash, key) pairs, and
+    compare every row with its group's cut."""
+    order = hash_order(row_key(key), salt)
+    narrow = df.select(group_key(by).alias("_g"), order.alias("_h"), *key)
+    counts = materialize(narrow.groupBy("_g", F.substring("_h", 1, CUT_DIGITS).alias("_b"))
+                         .agg(F.count(F.lit(1)).alias("_n")), "hash-counts")
+    wanted = (counts.groupBy("_g").agg(F.sum("_n").alias("_m"))
+              .select("_g", "_m", want(F.col("_m")).cast("bigint").alias("_want")))
+    upto = F.sum("_n").over(Window.partitionBy("_g").orderBy("_b"))
+    bucket = (counts.withColumn("_cum", upto).join(wanted, "_g")
+              .where((F.col("_cum") >= F.col("_want")) & (F.col("_cum") - F.col("_n") < F.col("_want")))
+              .select("_g", "_b", (F.col("_want") - F.col("_cum") + F.col("_n")).alias("_rank")))
+    bucket = materialize(bucket, "hash-bucket")
+    ranked = F.row_number().over(Window.partitionBy("_g").orderBy("_h", *key))
+    cut = (narrow.withColumn("_b", F.substring("_h", 1, CUT_DIGITS)).join(bucket, ["_g", "_b"])
+           .withColumn("_r", ranked).where(F.col("_r") == F.col("_rank"))
+           .select("_g", F.struct("_h", *key).alias("_cut")))
+    ends = materialize(wanted.join(cut, "_g", "left").select(
+        "_g", (F.col("_want") >= F.col("_m")).alias("_all"), "_cut"), "hash-cuts")
+    here = F.struct(order.alias("_h"), *key)
+    if not by:                       # one group: its cut is one row
+        end = ends.first()
+        if end is None or end["_all"] or end["_cut"] is None:
+            return df.withColumn("_in", F.lit(end is not None and bool(end["_all"])))
+        cut = F.struct(*[F.lit(v).cast(t.dataType).alias(t.name) for v, t in
+                         zip(end["_cut"], ends.schema["_cut"].dataType.fields)])
+        return df.withColumn("_in", F.coalesce(here <= cut, F.lit(False)))
+    return (df.withColumn("_g", group_key(by)).join(ends, "_g")
+            .withColumn("_in", F.col("_all") | F.coalesce(here <= F.col("_cut"), F.lit(False)))
+            .drop("_g", "_all", "_cut"))
+
+
+def expand_copies(light: DataFrame, heavy: DataFrame, count: str, out: str = "copy",
+                  keys: list[str] | None = None, chunk: int = COPY_CHUNK) -> DataFrame:
+    """Each row of ``light`` and ``heavy`` as ``count`` copies numbered 1..count.
+    ``light`` keeps rows of at most ``chunk`` copies; ``heavy`` rows beyond
+    that are cut into chunks that are hash-spread over tasks first, so one
+    heavily drawn row never expands inside a single task.  (An empty heavy
+    side costs nothing: adaptive execution drops its scan.)"""
     # Rows are selected through the generator (an empty array drops a row),
     # not by a Filter: a filter on ``count`` would be pushed below the
     # projection that computes it and re-evaluate that expression.
     c = F.col(count).cast("bigint")
     none = F.array().cast("array<bigint>")
-    one = F.lit(1).cast("bigint")
-    if not heavy:
-        return df.withColumn(out, F.explode(F.when(c >= 1, F.sequence(one, c)).otherwise(none)))
-    light = df.withColumn(out, F.explode(
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    few = light.withColumn(out, F.explode(
         F.when((c >= 1) & (c <= chunk), F.sequence(one, c)).otherwise(none)))
-    heavy_rows = (df.withColumn("_cb", F.explode(
-                      F.when(c > chunk, F.sequence(F.lit(0).cast("bigint"), F.ceil(c / F.lit(chunk)) - 1))
-                      .otherwise(none)))
-                  .repartition(_partitions(df), *(keys or []), "_cb")
-                  .withColumn(out, F.explode(F.sequence(F.col("_cb") * chunk + 1,
-                                                        F.least(c, (F.col("_cb") + 1) * chunk))))
-                  .drop("_cb"))
-    return light.unionByName(heavy_rows)
+    many = (heavy.withColumn("_cb", F.explode(
+                F.when(c > chunk, F.sequence(zero, F.ceil(c / F.lit(chunk)) - 1)).otherwise(none)))
+            .repartition(_partitions(heavy), *(keys or []), "_cb")
+            .withColumn(out, F.explode(F.sequence(F.col("_cb") * chunk + 1,
+                                                  F.least(c, (F.col("_cb") + 1) * chunk))))
+            .drop("_cb"))
+    return few.unionByName(many)
 
 
 def _draw_key(label: str, i: str) -> Column:
     return F.concat(F.col(label).cast("string"), F.lit("/"), F.col(i).cast("string"))
 
 
-def _wide_u(key: Column, salt: str, size: Column) -> Column:
-    """32-bit draws while a class fits 2^31 rows, 52-bit draws beyond."""
-    return F.when(size < F.lit(2 ** 31), u(key, salt)).otherwise(u(key, salt, 13))
+def class_sizes(df: DataFrame, label: str) -> DataFrame:
+    """(label, _m): rows per class, written once."""
+    return materialize(df.groupBy(label).agg(F.count(F.lit(1)).alias("_m")), "class-sizes")
 
 
-def _target(sizes: SmallLookup, label: str, n: int | None, majority) -> int:
+def _target(sizes: DataFrame, label: str, n: int | None, majority) -> int:
     if n is not None:
         return int(n)
-    return int(sum(r["_m"] for r in sizes.rows if r[label] == majority))
+    return int(sizes.where(F.col(label) == F.lit(majority)).agg(F.sum("_m")).first()[0] or 0)
 
 
-def rebalance(df: DataFrame, label: str = S.LABEL, key: str = S.KEY, n: int | None = None,
+def rebalance(df: DataFrame, label: str = S.LABEL, key=S.KEY, n: int | None = None,
               salt: str = "boot", majority=0, resample_majority: bool = True) -> DataFrame:
     """Bootstrap every class to ``n`` rows (default: the size of class
     ``majority``), drawing with replacement, the majority class included.
 
     Draw i of class c picks index floor(u(c/i) * m_c) in key order; draws are
     aggregated to (class, index, copies) before meeting the rows, so the join
-    carries at most one row per distinct drawn row.  Output: input columns +
-    ``copy`` (1..copies); (key, copy) identifies a row.  Rows whose label is
-    NULL belong to no class and are not resampled.
+    carries at most one row per distinct drawn row.  ``key`` is the column or
+    columns that identify a row (a table that was rebalanced before: id and
+    copy); repeated keys are an error, found before anything is drawn.
+    Output: input columns + ``copy`` (1..copies).  Rows whose label is NULL
+    belong to no class and are not resampled.
 
     ``resample_majority=False`` keeps the ``majority`` class as it is (each
     row once, copy = 1) and bootstraps only the other classes to ``n``."""
+    key = [key] if isinstance(key, str) else list(key)
     if not resample_majority:
         is_major = F.col(label) == F.lit(majority)
         if n is None:
@@ -188,112 +174,85 @@ def rebalance(df: DataFrame, label: str = S.LABEL, key: str = S.KEY, n: int | No
         others = rebalance(df.where(~is_major), label, key, n, salt, majority)
         return kept.unionByName(others)
     base = df.where(F.col(label).isNotNull())
-    # Index only the narrow (class, key) pairs; full rows move once, in the
-    # final join.  ``key`` must identify a row.
-    kidx = dense_index(base.select(label, key), [label], [key], name="_k")
-    sizes = group_sizes(kidx, [label])
+    # Index only the narrow (class, key) pairs; full rows move once, in the final join.
+    kidx = dense_index(base.select(label, *key), [label], key, name="_k")
+    if not kidx.groupBy(label, *key).agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty():
+        raise ValueError(f"rebalance: {key} does not identify a row; name all its key columns")
+    sizes = class_sizes(kidx, label)
     target = _target(sizes, label, n, majority)
-    if target <= 0 or not sizes.rows:
+    if target <= 0:
         return base.withColumn("copy", F.lit(1).cast("bigint")).limit(0)
-    n_chunks = -(-target // DRAW_CHUNK)
-    draws = (kidx.select(label).distinct()
-             .withColumn("_m", sizes("_m"))
-             .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_chunks - 1).cast("bigint"))))
-             .repartition(min(_partitions(df), n_chunks * len(sizes.rows)), label, "_chunk")
+    last = F.lit(-(-target // DRAW_CHUNK) - 1).cast("bigint")
+    draws = (sizes.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+             .repartition(_partitions(df), label, "_chunk")
              .withColumn("_i", F.explode(F.sequence(
                  F.col("_chunk") * DRAW_CHUNK,
                  F.least(F.lit(target).cast("bigint"), (F.col("_chunk") + 1) * DRAW_CHUNK) - 1)))
-             .select(label, F.floor(_wide_u(_draw_key(label, "_i"), salt, F.col("_m"))
+             .select(label, F.floor(u(_draw_key(label, "_i"), salt, DRAW_DIGITS)
                                     * F.col("_m")).alias("_k"))
              .groupBy(label, "_k").agg(F.count(F.lit(1)).alias("_c")))
-    picked = kidx.join(draws, [label, "_k"]).select(label, key, "_c")
-    joined = base.join(picked, [label, key])
-    # Expected copies per row are target / m; allow generous headroom.
-    heavy = target / max(1, min(sizes.values("_m"))) > COPY_CHUNK / 8
-    out = expand_copies(joined, "_c", "copy", keys=[label, key], heavy=heavy)
-    return out.select(*df.columns, "copy")
-
-
-def poisson_count(lam: Column, uu: Column) -> Column:
-    """Inverse Poisson(lam) CDF at uu, by a higher-order fold over 0..K in log
-    space (no factorial overflow or exp underflow at any lam).  K = lam +
-    12 sqrt(lam) + 12 leaves a tail P(X > K) < 1e-13 < 2^-33, the gap between
-    the largest keyed draw and 1, so the fold always reaches the answer."""
-    k = F.ceil(lam + F.lit(12.0) * F.sqrt(lam) + F.lit(12.0)).cast("int")
-    p0 = F.exp(-lam)
-    init = F.struct((-lam).alias("lp"), p0.alias("cdf"),
-                    F.when(p0 < uu, 1).otherwise(0).alias("c"))
-
-    def step(acc, j):
-        lp = acc["lp"] + F.log(lam) - F.log(j.cast("double"))
-        cdf = acc["cdf"] + F.exp(lp)
-        return F.struct(lp.alias("lp"), cdf.alias("cdf"),
-                        (acc["c"] + F.when(cdf < uu, 1).otherwise(0)).alias("c"))
-
-    return F.aggregate(F.sequence(F.lit(1), k), init, step)["c"]
-
-
-# Classes whose Poisson support bound K stays under this get a compiled
-# threshold search; larger lam (tiny classes) fall back to the fold.
-MAX_TREE_SUPPORT = 1024
-
-
-def poisson_thresholds(lam: float) -> list[float]:
-    """CDF values cdf_0..cdf_K of Poisson(lam), K = lam + 12 sqrt(lam) + 12,
-    accumulated in log space exactly as ``poisson_count`` does."""
-    import math
-    k = math.ceil(lam + 12.0 * math.sqrt(lam) + 12.0)
-    lp, cdf = -lam, math.exp(-lam)
-    out = [cdf]
-    for j in range(1, k + 1):
-        lp = lp + math.log(lam) - math.log(j)
-        cdf = cdf + math.exp(lp)
-        out.append(cdf)
-    return out
-
-
-def threshold_search(uu: Column, t: list[float]) -> Column:
-    """Number of thresholds below ``uu`` (t ascending), as a balanced CASE
-    tree: log2(len(t)) comparisons per row, all inside generated code."""
-    def node(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(uu <= F.lit(t[mid]), node(lo, mid)).otherwise(node(mid + 1, hi))
-    return node(0, len(t))
-
-
-def rebalance_poisson(df: DataFrame, label: str = S.LABEL, key: str = S.KEY,
+    picked = materialize(kidx.join(draws, [label, "_k"]).select(label, *key, "_c"), "picked")
+    on = [label, *key]
+    out = expand_copies(base.join(picked.where(F.col("_c") <= COPY_CHUNK), on),
+                        base.join(picked.where(F.col("_c") > COPY_CHUNK), on),
+                        "_c", "copy", keys=on)
+    return out.select(*[c for c in df.columns if c != "copy"], "copy")
+
+
+def poisson_table(classes: DataFrame, label: str) -> DataFrame:
+    """``classes(label, _lam)`` -> (label, _cdf): the CDF values cdf_0..cdf_K of
+    Poisson(_lam), summed in log space (no factorial overflow or exp underflow).
+    K = lam + 12 sqrt(lam) + 12 leaves a tail under 1e-13; a row can get as
+    many copies as its class' table is long, so the table is no larger than
+    one row's output."""
+    lam, j = F.col("_lam"), F.col("_j")
+    upto = Window.partitionBy(label).orderBy("_j").rowsBetween(Window.unboundedPreceding, 0)
+    steps = classes.withColumn("_j", F.explode(F.sequence(
+        F.lit(0), F.ceil(lam + F.lit(12.0) * F.sqrt(lam) + F.lit(12.0)).cast("int"))))
+    logs = F.sum(F.when(j == 0, F.lit(0.0)).otherwise(F.log(lam) - F.log(j.cast("double")))).over(upto)
+    return (steps.withColumn("_p", F.exp(-lam + logs))
+            .withColumn("_cdf", F.sum("_p").over(upto))
+            .groupBy(label).agg(F.sort_array(F.collect_list(F.struct("_j", "_cdf"))).alias("_t"))
+            .select(label, F.col("_t._cdf").alias("_cdf")))
+
+
+def below(values: str, x: Column) -> Column:
+    """How many of the ascending array column ``values`` are under ``x``: a
+    binary search as a higher-order fold of log2(length) steps."""
+    t = F.col(values)
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(t) + F.lit(1.0))).cast("int"))
+    start = F.struct(F.lit(0).alias("lo"), F.size(t).alias("hi"))
+
+    def halve(s, _):
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        open_ = s["lo"] < s["hi"]
+        right = F.coalesce(F.try_element_at(t, mid + 1) < x, F.lit(False))
+        return F.struct(F.when(open_ & right, mid + 1).otherwise(s["lo"]).alias("lo"),
+                        F.when(open_ & ~right, mid).otherwise(s["hi"]).alias("hi"))
+    return F.aggregate(steps, start, halve, lambda s: s["lo"])
+
+
+def rebalance_poisson(df: DataFrame, label: str = S.LABEL, key=S.KEY,
                       n: int | None = None, salt: str = "pois", majority=0) -> DataFrame:
     """R2: approximate rebalance for very large inputs.  Each row gets a
-    Poisson(n / m_class) number of copies from its own keyed draw: no index,
-    no join, no shuffle; class sizes are n in expectation.
+    Poisson(n / m_class) number of copies from its own keyed draw: no index
+    and no shuffle of rows; class sizes are n in expectation.
 
-    lam is constant within a class, so the inverse CDF is a search over that
-    class's CDF values, compiled into the plan; only classes with a huge lam
-    (K > MAX_TREE_SUPPORT) use the per-row fold."""
+    lam is constant within a class, so the inverse CDF is a binary search in
+    the class' CDF table, which is joined to the rows by class."""
+    key = [key] if isinstance(key, str) else list(key)
     base = df.where(F.col(label).isNotNull())
-    sizes = group_sizes(base, [label])
+    sizes = class_sizes(base, label)
     target = _target(sizes, label, n, majority)
-    lam = F.lit(float(target)) / sizes("_m").cast("double")
-    uu = F.col("_u")
-    gkey = group_key([label])
-    count, folded = F.lit(None).cast("int"), []
-    for r in sizes.rows:
-        lam_c = float(target) / float(r["_m"])
-        if lam_c + 12 * lam_c ** 0.5 + 13 <= MAX_TREE_SUPPORT:
-            t = poisson_thresholds(lam_c)
-            count = F.when(gkey == F.lit(r["_key"]), threshold_search(uu, t)).otherwise(count)
-        else:
-            folded.append(r["_key"])
-    if folded:
-        count = F.when(gkey.isin(*folded), poisson_count(F.col("_lam"), uu)).otherwise(count)
-    counted = (base.withColumn("_lam", lam).withColumn("_u", u(key, salt))
-               .withColumn("_c", count))
-    lam_max = target / max(1, min(sizes.values("_m")) if sizes.rows else 1)
-    heavy = lam_max + 12 * lam_max ** 0.5 + 12 > COPY_CHUNK
-    out = expand_copies(counted, "_c", "copy", keys=[key], heavy=heavy)
-    return out.select(*df.columns, "copy")
+    if target <= 0:
+        return base.withColumn("copy", F.lit(1).cast("bigint")).limit(0)
+    classes = sizes.select(label, (F.lit(float(target)) / F.col("_m").cast("double")).alias("_lam"))
+    tables = materialize(poisson_table(classes, label), "poisson")
+    draw = u(row_key(key), salt, DRAW_DIGITS)
+    counted = lambda t: base.join(t, label).withColumn("_c", below("_cdf", draw)).drop("_cdf")
+    out = expand_copies(counted(tables), counted(tables.where(F.size("_cdf") > COPY_CHUNK)),
+                        "_c", "copy", keys=key)
+    return out.select(*[c for c in df.columns if c != "copy"], "copy")
 
 
 def row_key(cols: list[str]) -> Column:
@@ -303,26 +262,9 @@ def row_key(cols: list[str]) -> Column:
 
 def sample_n(df: DataFrame, n: int, key: list[str] = (S.KEY,), salt: str = "sample") -> DataFrame:
     """Simple random sample of min(n, rows) rows without replacement: the
-    rows with the n smallest md5(key:salt).
-
-    A keyed draw u is a function of the hash's first 13 hex digits, so the rows
-    with u < t are exactly the rows with the smallest hash prefixes.  With
-    t = (n + 10 sqrt(n) + 100) / N they number about n, so the final top-n
-    merge sees ~n rows instead of n per task.  The (small) result is written
-    once; if it holds fewer than min(n, N) rows -- a 10-sigma event -- the
-    unfiltered top-n is used instead, so the sample is always exact."""
-    key = list(key)
-    kstr = row_key(key)
-    hashed = df.withColumn("_h", hash_order(kstr, salt))
-    total = df.count()
-    want = min(int(n), total)
-    frac = (n + 10 * n ** 0.5 + 100) / total if total else 1.0
-    if want > 0 and frac < 1.0:
-        top = materialize(hashed.where(u(kstr, salt, 13) < F.lit(frac)).orderBy("_h", *key).limit(n),
-                          "sample")
-        if top.count() == want:
-            return top.drop("_h")
-    return hashed.orderBy("_h", *key).limit(n).drop("_h")
+    rows with the n smallest md5(key:salt) (ties: smaller key)."""
+    return (smallest_by_hash(df, [], list(key), salt, lambda m: F.lit(int(n)))
+            .where("_in").drop("_in"))
 
 
 def split(df: DataFrame, key: list[str] = (S.KEY,), test: float = S.TEST_FRACTION,
@@ -337,12 +279,9 @@ def stratified_split(df: DataFrame, label: str = S.LABEL, key: list[str] = (S.KE
                      out: str = "split") -> DataFrame:
     """Exact stratified split.  Within each class, rows ordered by
     md5(key:salt) then key; the first ceil((1 - test) * m) go to train."""
-    key = list(key)
-    idx = dense_index(df, [label], [hash_order(row_key(key), salt), *key], name="_i")
-    sizes = group_sizes(idx, [label])
-    frac = f"{1.0 - test:.12f}"
-    n_train = F.ceil(F.lit(frac).cast("decimal(20,12)") * sizes("_m"))
-    return idx.withColumn(out, F.when(F.col("_i") < n_train, "train").otherwise("test")).drop("_i")
+    share = F.lit(f"{1.0 - test:.12f}").cast("decimal(20,12)")
+    marked = smallest_by_hash(df, [label], list(key), salt, lambda m: F.ceil(share * m))
+    return marked.withColumn(out, F.when(F.col("_in"), "train").otherwise("test")).drop("_in")
 
 
 def split_sizes(df: DataFrame, col: str = "split") -> DataFrame:

@@ -87,7 +87,7 @@ def with_prepared(body: str) -> str:
 REGION_AGG = f"""
 select Region_Code as region_code,
        count(*) as region_prospects,
-       {exact_sum('Annual_Premium')} as total_annual_premium,
+       round(sum(Annual_Premium), 4) as total_annual_premium,
        cast(sum(Claims_Amount) as bigint) as total_claims_amount,
        cast(sum(Claims_Num) as bigint) as total_claims_count
 from t group by Region_Code
@@ -114,7 +114,7 @@ def describe(cols: list[str]) -> str:
         x = f"cast({c} as double)"
         parts.append(
             f"select '{c}' as feature, count({x}) as count, "
-            f"round({exact_sum(x)}/count({x}), 6) as mean, round(stddev_samp({x}), 6) as stddev, "
+            f"round(avg({x}), 6) as mean, round(stddev_samp({x}), 6) as stddev, "
             f"min({x}) as min, max({x}) as max from t")
     return "\nunion all\n".join(parts)
 
@@ -216,13 +216,27 @@ i as (select *, row_number() over (partition by Response order by id) - 1 as _k
 m as (select Response, count(*) as _m from i group by Response),
 nn as (select cast(count_if(Response = 0) as bigint) as _n from i),
 d as (select Response, _m, unnest(range(0, (select _n from nn))) as _i from m),
-c as (select Response, cast(floor({u("concat(Response, '/', _i)", salt)} * _m) as bigint) as _k,
+c as (select Response, cast(floor({u("concat(Response, '/', _i)", salt, 13)} * _m) as bigint) as _k,
              count(*) as _c from d group by all),
 rb as (select {', '.join('i.' + c.strip() for c in BASE_COLS.split(','))}, unnest(range(1, c._c + 1)) as copy
        from i join c on i.Response = c.Response and i._k = c._k)
 """
 
 
+ENCODED_IN_PLACE = f"""
+select id, x_Gender as Gender, Age, Driving_License, Region_Code, Previously_Insured,
+       x_Vehicle_Age as Vehicle_Age, x_Vehicle_Damage as Vehicle_Damage, Annual_Premium,
+       Policy_Sales_Channel, Vintage, Response, Claims_Amount, Claims_Num
+from (select *, {ENCODE_SELECT} from t)
+"""
+
+PACKED = "select Response, Age as f_Age, Previously_Insured as f_Previously_Insured, " \
+    "Policy_Sales_Channel as f_Policy_Sales_Channel, Claims_Amount as f_Claims_Amount, " \
+    "Claims_Num as f_Claims_Num from t"
+
+REBALANCED_MINORITY = f"with t as ({PREPARED}),{rebalanced_cte()}select * from rb where Response <> 0 " \
+    f"union all select {BASE_COLS}, cast(1 as bigint) as copy from t where Response = 0"
+
 REBALANCED = f"with t as ({PREPARED}),{rebalanced_cte()}select * from rb"
 
 POISSON = f"""
@@ -231,7 +245,7 @@ b as (select * from t where Response is not null),
 m as (select Response, count(*) as _m from b group by Response),
 nn as (select cast(count_if(Response = 0) as bigint) as _n from b),
 l as (select b.*, cast((select _n from nn) as double) / cast(m._m as double) as _lam,
-             {u('id', 'pois')} as _u from b join m on b.Response = m.Response),
+             {u('id', 'pois', 13)} as _u from b join m on b.Response = m.Response),
 j as (select id, _lam, _u,
              unnest(range(1, cast(ceil(_lam + 12.0 * sqrt(_lam) + 12.0) as bigint) + 1)) as j from l),
 s as (select id, _lam, _u, j,
@@ -296,3 +310,52 @@ def sd_scaled(cols: list[str]) -> str:
                      f"as {c}_sd" for c in cols)
     return (f"{_train_split_cte()}, st as (select {stats} from s where split = 'train')\n"
             f"select id, copy, split, {outs} from s, st")
+
+
+RULE_PREDICTIONS = {
+    "damage_rule": "cast(Vehicle_Damage = 'Yes' and Previously_Insured = 0 as int)",
+    "claims_rule": "cast(Claims_Amount > 200 as int)",
+    "never": "0",
+}
+
+
+def _rule_ctes() -> str:
+    scored = "\nunion all\n".join(f"select '{k}' as algorithm, split, Response, {v} as prediction from s"
+                                  for k, v in RULE_PREDICTIONS.items())
+
+    def counts(pos: int) -> str:
+        y, p = f"Response = {pos}", f"prediction = {pos}"
+        return (f"select algorithm, split, {pos} as positive, count_if({y} and {p}) as tp, "
+                f"count_if(not {y} and {p}) as fp, count_if({y} and not {p}) as fn, "
+                f"count_if(not {y} and not {p}) as tn from sc group by algorithm, split")
+    return (f"{_train_split_cte()}, sc as ({scored}), rc as ({counts(1)} union all {counts(0)}), "
+            "rf as (select *, case when 2 * tp + fp + fn > 0 then cast(2.0 as double) * tp "
+            "/ cast(2 * tp + fp + fn as double) else 0.0 end as f1 from rc)\n")
+
+
+def rule_f1() -> str:
+    return _rule_ctes() + ("select algorithm, split, cast(positive as int) as positive, cast(tp as bigint) as tp, "
+                           "cast(fp as bigint) as fp, cast(fn as bigint) as fn, cast(tn as bigint) as tn, "
+                           "cast(f1 as double) as f1 from rf")
+
+
+def rule_runs() -> str:
+    return _rule_ctes() + ("select algorithm as run_id, algorithm, "
+                           "max(case when split = 'train' then f1 end) as f1_train, "
+                           "max(case when split = 'test' then f1 end) as f1_test from rf where positive = 1 "
+                           "group by algorithm having max(case when split = 'test' then f1 end) > 0.25 "
+                           "order by f1_test desc, run_id")
+
+
+def correlation_factors(numeric: list[str], text: list[str]) -> str:
+    return with_prepared(f"with k as ({factor_codes(text)})\n" + correlation(numeric + text)
+                         .replace("from t)", "from k)", 1).replace("with w as", ", w as", 1))
+
+
+def sample_charts(cols: list[str], kind: str) -> str:
+    body = []
+    for c in cols:
+        chart = histogram(c) if kind == "histogram" else box(c)
+        body.append(f"select *, '{c}' as feature from ({chart})")
+    sample = SAMPLE_N.strip()
+    return f"with t as ({sample})\n" + "\nunion all\n".join(body)

@@ -1,7 +1,9 @@
 """Registered queries: name -> (spark builder, DuckDB oracle SQL or None).
 
-Each builder takes (spark, sf_dir) and returns a lazy DataFrame over the
-whole input tables; none samples, caps or filters its input to stay cheap.
+Each builder takes (spark, sf_dir) and returns a DataFrame over the whole
+input tables; none samples, caps or filters its input to stay cheap.  Builders
+that need synthesised columns stage the columns they use once; operators that
+index, cut or fit run their jobs while the plan is built.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.encode import encode, factor_codes
+from ..functions.encode import encode, factor_codes, pack
 from ..operators import features, profile, sampling
 from ..session import scratch_path
 from ..sources import tables
@@ -32,16 +34,27 @@ def register(name: str, sql: str | None):
     return deco
 
 
-def staged_prospects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw prospects (orders joined to customer) written once under the
+# What the synthesis of claims and premium itself reads.
+SYNTHESIS_COLUMNS = ["id", "Response", "Annual_Premium"]
+
+
+def staged_prospects(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    """The raw prospects (orders joined to customer), written once under the
     checkpoint folder: the preparation reads its input three times (two
     one-row aggregates and the output), and at scale each read would
-    otherwise repeat the join's shuffle."""
-    return sampling.materialize(prospects(spark, sf_dir), "prospects")
+    otherwise repeat the join's shuffle.  Only ``columns`` (default: all) and
+    what the synthesis needs are written."""
+    raw = prospects(spark, sf_dir)
+    if columns is not None:
+        raw = raw.select(*[c for c in raw.columns if c in {*columns, *SYNTHESIS_COLUMNS}])
+    return sampling.materialize(raw, "prospects")
 
 
-def prepared(spark: SparkSession, sf_dir: str, variant: str = "python") -> DataFrame:
-    return features.prepare(staged_prospects(spark, sf_dir), variant=variant)
+def prepared(spark: SparkSession, sf_dir: str, variant: str = "python",
+             columns: list[str] | None = None) -> DataFrame:
+    """The prepared table; with ``columns``, only those and the synthesis' own.
+    Queries that use no synthesised column read ``prospects`` instead."""
+    return features.prepare(staged_prospects(spark, sf_dir, columns), variant=variant)
 
 
 def rebalanced(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,13 +62,21 @@ def rebalanced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.region_opportunity(prepared(spark, sf_dir))
+    """The roll-up with its floating sum at 4 decimals, as the SQL check has it."""
+    rolled = profile.region_opportunity(prepared(spark, sf_dir, columns=["Region_Code"]))
+    return rolled.withColumn("total_annual_premium", F.round("total_annual_premium", 4))
+
+
+def rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
+    """Doubles whose last bits depend on the order of addition, at ``digits`` decimals."""
+    return df.withColumns({c: F.round(c, digits) for c in cols})
 
 
 SHARE_SQL_COLS = S.SHARE_COLUMNS
-DESCRIBE_COLS = ["Age", "Annual_Premium", "Vintage", "Claims_Amount", "Claims_Num"]
-CORR_COLS = ["id", "Age", "Driving_License", "Region_Code", "Previously_Insured", "Annual_Premium",
-             "Policy_Sales_Channel", "Vintage", "Response", "Claims_Amount", "Claims_Num"]
+NUMERIC_COLS = [f.name for f in S.BASE_SCHEMA.fields if f.dataType.simpleString() != "string"]
+DESCRIBE_COLS = [c for c in NUMERIC_COLS if c not in S.DESCRIBE_EXCLUDE]
+CORR_COLS = NUMERIC_COLS
+FACTOR_COLS = [c for c in S.BASE_COLUMNS if c not in NUMERIC_COLS]
 
 
 # --- sources, sinks, feature synthesis --------------------------------------
@@ -83,13 +104,25 @@ def q_csv_roundtrip(spark, sf_dir):
     return tables.read_csv(spark, path)
 
 
+def _scratch_table(spark, label: str) -> tuple[str, str]:
+    name = f"{label}_{uuid.uuid4().hex[:12]}"
+    return name, scratch_path(spark, f"table-{name}")
+
+
+def _release(spark, name: str, path: str) -> DataFrame:
+    """The saved table as scanned by name; its catalog entry goes, the files
+    stay under the checkpoint folder for the returned frame."""
+    schema = tables.read_table(spark, name).schema
+    tables.drop_table(spark, name)
+    return spark.read.schema(schema).parquet(path)
+
+
 @register("table_roundtrip", O.PREPARED)
 def q_table_roundtrip(spark, sf_dir):
     """The prepared table saved as a catalog table, then scanned by name."""
-    name = f"prepared_{uuid.uuid4().hex[:12]}"
-    tables.save_table(prepared(spark, sf_dir), name,
-                      path=scratch_path(spark, f"table-{name}"))
-    return tables.read_table(spark, name)
+    name, path = _scratch_table(spark, "prepared")
+    tables.save_table(prepared(spark, sf_dir), name, path=path)
+    return _release(spark, name, path)
 
 
 @register("preview", O.with_prepared("select * from t order by id limit 100"))
@@ -107,7 +140,7 @@ def q_region_opportunity(spark, sf_dir):
 @register("region_view", O.with_prepared(O.REGION_AGG))
 def q_region_view(spark, sf_dir):
     """The region roll-up published as a view and read through SQL."""
-    view = f"cross_sell_region_agg_{uuid.uuid4().hex[:8]}"
+    view = f"region_rollup_{uuid.uuid4().hex[:8]}"
     tables.create_view(regions(spark, sf_dir), view)
     return spark.sql(f"SELECT * FROM {view}")
 
@@ -119,23 +152,23 @@ def q_regions_ranked(spark, sf_dir):
 
 @register("region_bubble", O.with_prepared(O.REGION_BUBBLE))
 def q_region_bubble(spark, sf_dir):
-    return profile.region_bubble(regions(spark, sf_dir))
+    return rounded(profile.region_bubble(regions(spark, sf_dir)), 9, "log10_claims_count")
 
 
 @register("premium_by_age", O.with_prepared(O.PREMIUM_BY_AGE))
 def q_premium_by_age(spark, sf_dir):
-    return profile.premium_by_age(prepared(spark, sf_dir))
+    return profile.premium_by_age(prepared(spark, sf_dir, columns=["Age"]))
 
 
 @register("numeric_summary", O.with_prepared(O.describe(DESCRIBE_COLS)))
 def q_numeric_summary(spark, sf_dir):
-    df = prepared(spark, sf_dir)
-    return profile.describe_numeric(df, profile.numeric_columns(df))
+    df = prepared(spark, sf_dir, columns=DESCRIBE_COLS)
+    return rounded(profile.describe_numeric(df, profile.numeric_columns(df)), 6, "mean", "stddev")
 
 
 @register("class_balance", O.with_prepared("select Response, count(id) as n from t group by Response"))
 def q_class_balance(spark, sf_dir):
-    return profile.class_balance(prepared(spark, sf_dir))
+    return profile.class_balance(prospects(spark, sf_dir))
 
 
 @register("quality_balance", "select quality, count(doc_id) as n from labels group by quality")
@@ -146,43 +179,50 @@ def q_quality_balance(spark, sf_dir):
 @register("majority_count",
           O.with_prepared("select cast(count_if(Response = 0) as bigint) as n from t"))
 def q_majority_count(spark, sf_dir):
-    return profile.count_where(prepared(spark, sf_dir), F.col("Response") == 0)
+    return profile.count_where(prospects(spark, sf_dir), F.col("Response") == 0)
 
 
 @register("long_form", O.with_prepared(O.long_form(SHARE_SQL_COLS)))
 def q_long_form(spark, sf_dir):
-    return profile.to_long(prepared(spark, sf_dir), S.SHARE_COLUMNS)
+    return profile.to_long(prospects(spark, sf_dir), S.SHARE_COLUMNS)
 
 
 @register("category_share", O.with_prepared(O.category_share(SHARE_SQL_COLS)))
 def q_category_share(spark, sf_dir):
-    return profile.category_share(prepared(spark, sf_dir))
+    return profile.category_share(prospects(spark, sf_dir))
 
 
 @register("category_share_r", O.with_prepared(O.category_share(SHARE_SQL_COLS, "fraction2")))
 def q_category_share_r(spark, sf_dir):
-    return profile.category_share(prepared(spark, sf_dir), mode="fraction2")
+    return profile.category_share(prospects(spark, sf_dir), mode="fraction2")
 
 
 @register("correlation", O.with_prepared(O.correlation(CORR_COLS)))
 def q_correlation(spark, sf_dir):
-    return profile.correlation_long(prepared(spark, sf_dir), CORR_COLS)
+    return rounded(profile.correlation_long(prepared(spark, sf_dir), CORR_COLS), 2, "value")
+
+
+@register("correlation_factors", O.correlation_factors(NUMERIC_COLS, FACTOR_COLS))
+def q_correlation_factors(spark, sf_dir):
+    """R form: text columns enter as their alphabetical codes."""
+    df = sampling.materialize(prepared(spark, sf_dir), "prepared")
+    return rounded(profile.correlation_long(df, factors=True), 2, "value")
 
 
 @register("histogram", O.with_prepared(O.histogram("Age")))
 def q_histogram(spark, sf_dir):
-    return profile.histogram_by(prepared(spark, sf_dir), "Age")
+    return profile.histogram_by(prospects(spark, sf_dir), "Age")
 
 
 @register("box_summary", O.with_prepared(O.box("Claims_Amount")))
 def q_box_summary(spark, sf_dir):
-    return profile.box_by(prepared(spark, sf_dir), "Claims_Amount")
+    return profile.box_by(prepared(spark, sf_dir, columns=[]), "Claims_Amount")
 
 
 @register("feature_by_label",
           O.with_prepared("select Age as x, cast(Response as varchar) as Response from t"))
 def q_feature_by_label(spark, sf_dir):
-    return profile.feature_by_label(prepared(spark, sf_dir), "Age")
+    return profile.feature_by_label(prospects(spark, sf_dir), "Age")
 
 
 # --- encoding --------------------------------------------------------------------
@@ -252,7 +292,8 @@ def q_sd_scaled(spark, sf_dir):
     from ..operators.models import sd_scale_sql
     d = _balanced_split(spark, sf_dir)
     out = sd_scale_sql(d.where(F.col("split") == "train"), d, S.BASELINE_FEATURES, suffix="_sd")
-    return out.select("id", "copy", "split", *[f"{c}_sd" for c in S.BASELINE_FEATURES])
+    scaled = [f"{c}_sd" for c in S.BASELINE_FEATURES]
+    return rounded(out.select("id", "copy", "split", *scaled), 9, *scaled)
 
 
 # --- models (rows-only checks: fitted models are not SQL) -----------------------
@@ -275,15 +316,75 @@ def q_baseline_f1(spark, sf_dir):
     return f1_by_split(fit_baseline(data), data)
 
 
-@register("model_runs", None)
-def q_model_runs(spark, sf_dir):
-    """M5-M7 + M9 + M10 + O5: elastic net, boosted trees (the R settings) and
-    the penalised linear model fitted on the balanced train split, each logged
-    to a runs table with F1 train/test; the result is the ranked run list
-    (f1_test > 0.25, best first)."""
-    from ..operators import models, runs
+# Fixed predictions of simple rules, so that F1, run log, filter and top-1 can
+# be checked in SQL without a fitted model.
+RULES = {
+    "damage_rule": "cast(Vehicle_Damage = 'Yes' and Previously_Insured = 0 as int)",
+    "claims_rule": "cast(Claims_Amount > 200 as int)",
+    "never": "0",
+}
+
+
+def _rule_scores(spark, sf_dir) -> DataFrame:
+    data = sampling.materialize(_balanced_split(spark, sf_dir), "split")
+    frames = [data.select("id", "copy", "split", "Response", F.lit(k).alias("algorithm"),
+                          F.expr(v).alias("prediction")) for k, v in RULES.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@register("rule_f1", O.rule_f1())
+def q_rule_f1(spark, sf_dir):
+    """M9: F1 of class 1 and (R form) class 0 per rule and split."""
+    from ..operators.evaluate import f1
+    scored = _rule_scores(spark, sf_dir)
+    by = ["algorithm", "split"]
+    return (f1(scored, by=by).withColumn("positive", F.lit(1))
+            .unionByName(f1(scored, by=by, positive=0).withColumn("positive", F.lit(0))))
+
+
+def _rule_runs(spark, sf_dir) -> DataFrame:
+    """One logged run per rule, named by its rule."""
+    from ..operators import runs
+    from ..operators.evaluate import f1
+    path = scratch_path(spark, f"runs-{uuid.uuid4().hex}")
+    scored = f1(_rule_scores(spark, sf_dir), by=["algorithm", "split"]).collect()  # 2 rows a rule
+    for name in RULES:
+        metrics = {f"f1_{r['split']}": r["f1"] for r in scored if r["algorithm"] == name}
+        runs.log_run(spark, path, "rules", name, {"rule": name}, metrics, run_id=name)
+    return runs.read_runs(spark, path)
+
+
+def _run_columns(found: DataFrame) -> DataFrame:
+    return found.select("run_id", "algorithm", F.col("metrics")["f1_train"].alias("f1_train"),
+                        F.col("metrics")["f1_test"].alias("f1_test"))
+
+
+@register("rule_runs", O.rule_runs())
+def q_rule_runs(spark, sf_dir):
+    """The logged runs over the acceptance threshold, best first."""
+    from ..operators import runs
+    return _run_columns(runs.search_runs(_rule_runs(spark, sf_dir), "rules"))
+
+
+@register("rule_best_run", O.rule_runs() + " limit 1")
+def q_rule_best_run(spark, sf_dir):
+    """The best accepted run."""
+    from ..operators import runs
+    return _run_columns(runs.best_run(_rule_runs(spark, sf_dir), "rules"))
+
+
+def _logged_models(spark, sf_dir, positive=1):
+    """The R training path: factor codes, exact stratified split of the
+    balanced table, three models fitted on train; every run logs its F1 (of
+    class ``positive``) and the path of its saved pipeline."""
+    from ..operators import models, runs, score
     from .workflow import f1_by_split, metrics_dict, training_frame
-    data = _balanced_split(spark, sf_dir)
+    balanced = rebalanced(spark, sf_dir)
+    data = sampling.materialize(
+        sampling.stratified_split(balanced, key=["id", "copy"]), "model-data")
     train = training_frame(data)
     path = scratch_path(spark, f"runs-{uuid.uuid4().hex}")
     try:
@@ -291,17 +392,70 @@ def q_model_runs(spark, sf_dir):
                            ("boosted_trees", models.boosted_pipeline()),
                            ("linear", models.linear_pipeline())):
             model = pipe.fit(train)
-            runs.log_run(spark, path, "cross-sell", algo,
+            saved = scratch_path(spark, f"model-{algo}-{uuid.uuid4().hex}")
+            score.save_model(model, saved)
+            runs.log_run(spark, path, "propensity", algo,
                          {p.name: v for p, v in pipe.getStages()[-1].extractParamMap().items()
                           if p.name in ("regParam", "elasticNetParam", "maxIter", "maxDepth", "stepSize")},
-                         metrics_dict(f1_by_split(model, data)))
+                         metrics_dict(f1_by_split(model, data, positive=positive)), model_path=saved)
     finally:
         train.unpersist()
-    return runs.search_runs(runs.read_runs(spark, path), min_value=None).select(
+    return data, runs.read_runs(spark, path)
+
+
+@register("model_runs", None)
+def q_model_runs(spark, sf_dir):
+    """M5-M7 + M9 + M10: elastic net, boosted trees and the penalised linear
+    model, each logged with F1 train/test of class 0 (R form); the runs with
+    f1_test > 0.25, best first."""
+    from ..operators import runs
+    _, logged = _logged_models(spark, sf_dir, positive=0)
+    return runs.search_runs(logged, "propensity").select(
         "algorithm", F.col("metrics")["f1_train"].alias("f1_train"),
         F.col("metrics")["f1_test"].alias("f1_test"))
 
 
+@register("best_run_scores", None)
+def q_best_run_scores(spark, sf_dir):
+    """M10-M14 in a chain: models logged with their saved pipelines, the best
+    run over the threshold looked up, its pipeline loaded, and the recombined
+    balanced table and the whole unbalanced table scored with it."""
+    from ..operators import runs, score
+    data, logged = _logged_models(spark, sf_dir)
+    best = runs.best_run(logged, "propensity").first()
+    if best is None:
+        raise ValueError("no run reached the acceptance threshold")
+    model = score.load_model(best["model_path"])
+    recombined = sampling.recombine(data.where(F.col("split") == "train"),
+                                    data.where(F.col("split") == "test"))
+    balanced = score.score(recombined, model).select(
+        F.lit("balanced").alias("relation"), "id", "copy", "Response", "prediction")
+    whole = score.score(prepared(spark, sf_dir), model).select(
+        F.lit("whole").alias("relation"), "id", F.lit(1).cast("bigint").alias("copy"),
+        "Response", "prediction")
+    return balanced.unionByName(whole)
+
+
+@register("search_runs", None)
+def q_search_runs(spark, sf_dir):
+    """M8: the hyper-parameter search, ten evaluations ranked by F1 on test."""
+    from ..operators import models
+    from .workflow import f1_by_split, metrics_dict, narrow
+    data = sampling.materialize(narrow(_balanced_split(spark, sf_dir)), "search-data")
+    train, test = (data.where(F.col("split") == x).drop("split") for x in ("train", "test"))
+
+    def evaluate(model, fitted_on, evalset):
+        both = (fitted_on.withColumn("split", F.lit("train"))
+                .unionByName(evalset.withColumn("split", F.lit("test"))))
+        return metrics_dict(f1_by_split(model, both))
+
+    found = models.search(train, test, evaluate)
+    rows = [(i + 1, r["params"]["max_depth"], r["params"]["n_estimators"],
+             r["metrics"].get("f1_train"), r["metrics"].get("f1_test")) for i, r in enumerate(found)]
+    return spark.createDataFrame(
+        rows, "rank int, max_depth int, n_estimators int, f1_train double, f1_test double")
+
+
 @register("scored_table", None)
 def q_scored_table(spark, sf_dir):
     """U1 + M13: train/test recombined (inference data), scored by the boosted
@@ -317,6 +471,62 @@ def q_scored_table(spark, sf_dir):
         train.unpersist()
     inference = sampling.recombine(data.where(F.col("split") == "train"),
                                    data.where(F.col("split") == "test"))
-    name = f"data_with_predictions_{uuid.uuid4().hex[:12]}"
-    score_to_table(inference, model, name, path=scratch_path(spark, f"table-{name}"))
-    return tables.read_table(spark, name)
+    name, path = _scratch_table(spark, "scored")
+    score_to_table(inference, model, name, path=path)
+    return _release(spark, name, path)
+
+
+# --- chart frames of the balanced sample ---------------------------------------
+
+@register("sample_histograms", O.sample_charts(S.BASELINE_FEATURES, "histogram"))
+def q_sample_histograms(spark, sf_dir):
+    """R1 -> R3 -> A10 for each of the five chosen features."""
+    return _charts(spark, sf_dir, lambda df, c: profile.histogram_by(df, c))
+
+
+@register("sample_boxes", O.sample_charts(S.BASELINE_FEATURES, "box"))
+def q_sample_boxes(spark, sf_dir):
+    """R1 -> R3 -> A11 for each of the five chosen features."""
+    return _charts(spark, sf_dir, lambda df, c: profile.box_by(df, c))
+
+
+def _charts(spark, sf_dir, chart):
+    sample = sampling.materialize(
+        sampling.sample_n(rebalanced(spark, sf_dir), S.SAMPLE_ROWS, key=["id", "copy"]), "chart-sample")
+    frames = [chart(sample, c).withColumn("feature", F.lit(c)) for c in S.BASELINE_FEATURES]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+# --- remaining forms ----------------------------------------------------------------
+
+@register("encoded_in_place", O.with_prepared(O.ENCODED_IN_PLACE))
+def q_encoded_in_place(spark, sf_dir):
+    """X12 overwriting the text columns."""
+    return encode(prepared(spark, sf_dir), prefix="")
+
+
+@register("packed", O.with_prepared(O.PACKED))
+def q_packed(spark, sf_dir):
+    """P4 + P7: the first column dropped by position, features packed into a struct."""
+    df = pack(prepared(spark, sf_dir), S.BASELINE_FEATURES)
+    return profile.drop_first(df).select("Response", *[
+        F.col(f"features.{c}").alias(f"f_{c}") for c in S.BASELINE_FEATURES])
+
+
+@register("rebalance_keep_majority", O.REBALANCED_MINORITY)
+def q_rebalance_keep_majority(spark, sf_dir):
+    """R1 with the majority class left as it is."""
+    return sampling.rebalance(prepared(spark, sf_dir), resample_majority=False)
+
+
+@register("table_partitions", O.PREPARED)
+def q_table_partitions(spark, sf_dir):
+    """Saved as a managed table with a given number of partitions."""
+    name = f"prepared_{uuid.uuid4().hex[:12]}"
+    tables.save_table(prepared(spark, sf_dir), name, partitions=4)
+    saved = sampling.materialize(tables.read_table(spark, name), "managed-copy")
+    tables.drop_table(spark, name)
+    return saved

@@ -25,7 +25,6 @@ BASE_SCHEMA = T.StructType(RAW_SCHEMA.fields + [
     T.StructField("Claims_Num", T.IntegerType()),
 ])
 BASE_COLUMNS = [f.name for f in BASE_SCHEMA.fields]
-RAW_COLUMNS = [f.name for f in RAW_SCHEMA.fields]
 
 LABEL = "Response"
 KEY = "id"
@@ -52,11 +51,7 @@ DESCRIBE_EXCLUDE = ["id", "Gender", "Vehicle_Age", "Vehicle_Damage", "Region_Cod
 # Categorical columns whose value shares are profiled.
 SHARE_COLUMNS = ["Vehicle_Age", "Gender", "Vehicle_Damage", "Driving_License",
                  "Previously_Insured"]
-# Features shown by label in the histogram / box views.
-CORRELATED_FEATURES = ["Age", "Previously_Insured", "Policy_Sales_Channel",
-                       "Claims_Amount", "Claims_Num"]
-
-# Feature lists.
+# Feature lists (the baseline's are also those charted by label).
 BASELINE_FEATURES = ["Age", "Previously_Insured", "Policy_Sales_Channel",
                      "Claims_Amount", "Claims_Num"]
 EXTENDED_FEATURES = BASELINE_FEATURES + ["Driving_License", "Region_Code",

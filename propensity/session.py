@@ -52,10 +52,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
+    single = sc.master == "local" or sc.master.startswith("local[")
     if configured:
+        if not single and "://" not in configured and not configured.startswith("file:"):
+            default = sc._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+            if default.startswith("file:"):
+                raise RuntimeError(f"spark.checkpoint.dir={configured} names no file system and the "
+                                   "default one is local; give the shared folder's full URI")
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not single:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder for this cluster")
     path = tempfile.mkdtemp(prefix="propensity-ckpt-")
@@ -70,17 +76,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def spread(df, *cols):
-    """Give an input with fewer scan partitions than the session's
-    parallelism that many hash partitions (a cheap shuffle of a small input),
-    so per-row work is not serialised in one task.  Inputs large enough to
-    have at least that many splits -- any real table -- are returned as they
-    are, without a shuffle.  Keyed draws make results independent of this."""
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= par:
-            return df
-    except Exception:  # no SparkContext on this client: leave the layout to the server
+    """Hash-spread an input that lies in a single file, so that its per-row
+    work is not serialised in one task.  Tables of several files -- any table
+    of size -- are returned as they are.  Only file metadata is looked at."""
+    if len(df.inputFiles()) != 1:
         return df
+    par = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(par, *cols) if cols else df.repartition(par)
 
 

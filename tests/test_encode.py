@@ -28,3 +28,10 @@ def test_factor_codes_alphabetical(spark):
 def test_pack_struct(spark):
     df = spark.createDataFrame([(1, 2.0)], "a int, b double")
     assert pack(df, ["a", "b"]).first().features == (1, 2.0)
+
+
+def test_factor_codes_many_levels(spark):
+    df = spark.range(0, 30_000).select(F.format_string("v%06d", 29_999 - F.col("id")).alias("v"), "id")
+    out = factor_codes(df, ["v"])
+    assert out.columns == ["v", "id"]
+    assert out.where(F.col("v") != 30_000 - F.col("id")).count() == 0 and out.count() == 30_000

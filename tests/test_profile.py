@@ -86,14 +86,14 @@ def test_describe_all_includes_strings(spark):
 def test_correlation_with_factor_codes(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 3.0)], "g string, x double")
     out = {(r.col1, r.col2): r.value for r in profile.correlation_long(df, factors=True).collect()}
-    assert out[("g", "x")] == 1.0 and out[("x", "g")] == 1.0
+    assert abs(out[("g", "x")] - 1.0) < 1e-12 and abs(out[("x", "g")] - 1.0) < 1e-12
 
 
 def test_correlation_pairwise_with_nulls_matches_pandas(spark):
     import pandas as pd
     rows = [(1.0, 2.0, None), (2.0, 1.0, 3.0), (3.0, 5.0, 1.0), (4.0, None, 2.0), (5.0, 4.0, 7.0), (6.0, 7.0, 5.0)]
     df = spark.createDataFrame(rows, "a double, b double, c double")
-    got = {(r.col1, r.col2): r.value for r in profile.correlation_long(df, digits=None).collect()}
+    got = {(r.col1, r.col2): r.value for r in profile.correlation_long(df).collect()}
     want = pd.DataFrame(rows, columns=["a", "b", "c"]).corr()
     for (a, b), v in got.items():
         assert abs(v - want.loc[a, b]) < 1e-12
@@ -103,7 +103,41 @@ def test_correlation_complete_matches_pandas(spark):
     import pandas as pd
     rows = [(float(i), float((i * 7) % 11), float(i * i % 13)) for i in range(50)]
     df = spark.createDataFrame(rows, "a double, b double, c double")
-    got = {(r.col1, r.col2): r.value for r in profile.correlation_long(df, digits=None).collect()}
+    got = {(r.col1, r.col2): r.value for r in profile.correlation_long(df).collect()}
     want = pd.DataFrame(rows, columns=["a", "b", "c"]).corr()
     for (a, b), v in got.items():
         assert abs(v - want.loc[a, b]) < 1e-12
+
+
+def test_correlation_nan_and_constant(spark):
+    import math
+    rows = [(1.0, 5.0, 2.0), (float("nan"), 5.0, 9.0), (3.0, 5.0, None), (4.0, 5.0, 1.0), (7.0, 5.0, 3.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(4)
+    got = {(r.col1, r.col2): r.value for r in profile.correlation_long(df).collect()}
+    import pandas as pd
+    want = pd.DataFrame(rows, columns=["a", "b", "c"]).corr()
+    assert got["b", "b"] is None and got["a", "b"] is None and got["c", "b"] is None
+    assert math.isclose(got["a", "c"], want.loc["a", "c"]) and got["a", "a"] == 1.0
+
+
+def test_correlation_reads_the_table_once(spark):
+    df = spark.range(0, 1000).select(*[(F.col("id") * (k + 3) % 97).cast("double").alias(f"c{k}") for k in range(30)])
+    plan = profile.correlation_long(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 1
+
+
+def test_numeric_summary_missing_small_and_large(spark):
+    rows = [(float("nan"), 1e-8, 2e33), (2.0, 3e-8, 4e33), (None, 2e-8, 6e33)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {r.feature: r for r in profile.describe_numeric(df).collect()}
+    assert got["a"]["count"] == 1 and got["a"]["mean"] == 2.0
+    assert abs(got["b"]["mean"] - 2e-8) < 1e-20 and abs(got["c"]["mean"] - 4e33) < 1e19
+
+
+def test_exact_mean(spark):
+    from propensity.functions.exact import exact_mean
+    rows = [(float("nan"), 1e-8, 2e33, 0.1), (2.0, 3e-8, 2e33, 0.2)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    r = df.agg(*[exact_mean(c).alias(c) for c in "abcd"]).first()
+    assert r.a == 2.0 and abs(r.b - 2e-8) < 1e-20 and r.c == 2e33 and abs(r.d - 0.15) < 1e-15
+    assert df.limit(0).agg(exact_mean("a").alias("m")).first().m is None

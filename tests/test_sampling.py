@@ -43,24 +43,42 @@ def test_rebalance_one_class_and_n_larger(spark):
 
 
 def test_expand_copies_heavy_path(spark):
-    df = spark.createDataFrame([(1, 10000), (2, 3)], "id long, c long")
-    out = sampling.expand_copies(df, "c", keys=["id"], heavy=True, chunk=1000)
+    df = spark.createDataFrame([(1, 10000), (2, 3), (3, 0)], "id long, c long")
+    out = sampling.expand_copies(df, df, "c", keys=["id"], chunk=1000)
     r = out.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max("copy").alias("mx"),
                                F.countDistinct("copy").alias("d")).orderBy("id").collect()
     assert [(x.n, x.mx, x.d) for x in r] == [(10000, 10000, 10000), (3, 3, 3)]
 
 
+def test_rebalance_refuses_repeated_keys_and_takes_composite_ones(spark):
+    import pytest
+    rows = [(1, 1, 0), (1, 2, 0), (2, 1, 0), (3, 1, 1)]
+    df = spark.createDataFrame(rows, "id long, part int, Response int")
+    with pytest.raises(ValueError, match="does not identify"):
+        sampling.rebalance(df)
+    out = sampling.rebalance(df, key=["id", "part"])
+    assert {r.Response: r["count"] for r in out.groupBy("Response").count().collect()} == {0: 3, 1: 3}
+
+
+def test_many_classes(spark):
+    df = spark.range(0, 100_001).select("id", (F.col("id") * 7 % 100_001).alias("Response"))
+    assert sampling.rebalance(df, n=1).count() == 100_001
+    assert sampling.stratified_split(df).where("split = 'train'").count() == 100_001
+
+
 def test_poisson_rebalance_sizes_near_target(prepared01):
     out = sampling.rebalance_poisson(prepared01)
     sizes = {r.Response: r["count"] for r in out.groupBy("Response").count().collect()}
     assert sizes == {0: 13427, 1: 13586}
 
 
-def test_poisson_count_matches_inverse_cdf(spark):
+def test_poisson_table_and_search_match_inverse_cdf(spark):
     import math
-    rows = [(lam, uu) for lam in (0.5, 3.0, 40.0, 900.0) for uu in (0.01, 0.3, 0.5, 0.9, 0.999)]
-    df = spark.createDataFrame(rows, "lam double, u double")
-    got = [r.c for r in df.select(sampling.poisson_count(F.col("lam"), F.col("u")).alias("c")).collect()]
+    lams = (0.5, 3.0, 40.0, 900.0)
+    rows = [(lam, uu) for lam in lams for uu in (0.01, 0.3, 0.5, 0.9, 0.999)]
+    table = sampling.poisson_table(spark.createDataFrame([(x, x) for x in lams], "k double, _lam double"), "k")
+    df = spark.createDataFrame(rows, "k double, u double").join(table, "k")
+    got = {(r.k, r.u): r.c for r in df.select("k", "u", sampling.below("_cdf", F.col("u")).alias("c")).collect()}
 
     def inv(lam, uu):
         k, lp, cdf = 0, -lam, math.exp(-lam)
@@ -69,7 +87,7 @@ def test_poisson_count_matches_inverse_cdf(spark):
             lp += math.log(lam) - math.log(k)
             cdf += math.exp(lp)
         return k
-    assert got == [inv(lam, uu) for lam, uu in rows]
+    assert got == {(lam, uu): inv(lam, uu) for lam, uu in rows}
 
 
 def test_sample_n_caps_at_population(spark):
@@ -93,17 +111,7 @@ def test_split_disjoint_complete(prepared01):
     assert 0.75 < n_train / prepared01.count() < 0.85
 
 
-def test_threshold_search_matches_fold(spark):
-    lam = 8.967
-    t = sampling.poisson_thresholds(lam)
-    rows = [(x / 1000.0,) for x in range(1, 1000, 7)]
-    df = spark.createDataFrame(rows, "u double")
-    got = df.select(sampling.threshold_search(F.col("u"), t).alias("a"),
-                    sampling.poisson_count(F.lit(lam), F.col("u")).alias("b")).collect()
-    assert all(r.a == r.b for r in got)
-
-
-def test_sample_n_threshold_equals_full_sort(spark):
+def test_sample_n_equals_full_sort(spark):
     df = spark.range(0, 20000).withColumnRenamed("id", "id")
     got = sampling.sample_n(df, 300)
     from propensity.functions.keyed import hash_order
@@ -131,7 +139,7 @@ def test_keyed_operators_layout_independent(spark, prepared01):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_poisson_tiny_class_uses_fold_and_heavy_split(spark):
+def test_poisson_tiny_class_heavy_split(spark):
     rows = [(i, 0) for i in range(20000)] + [(100000, 1), (100001, 1)]
     df = spark.createDataFrame(rows, "id long, Response int")
     out = sampling.rebalance_poisson(df)          # lam = 10000 for class 1
@@ -159,19 +167,3 @@ def test_rebalance_tiny_class_heavy_copies_exact(spark):
     per_id = out.where("Response = 1").groupBy("id").agg(
         F.count(F.lit(1)).alias("n"), F.max("copy").alias("mx"), F.countDistinct("copy").alias("d")).collect()
     assert all(r.n == r.mx == r.d for r in per_id) and sum(r.n for r in per_id) == 20000
-
-
-def test_index_partitions_grow_with_input_and_are_capped(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
-        assert sampling._index_partitions(spark.range(100).repartition(3)) == 8
-        assert sampling._index_partitions(spark.range(100).repartition(40)) == 40
-        old = sampling.MAX_INDEX_PARTITIONS
-        sampling.MAX_INDEX_PARTITIONS = 16
-        try:
-            assert sampling._index_partitions(spark.range(100).repartition(40)) == 16
-        finally:
-            sampling.MAX_INDEX_PARTITIONS = old
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)

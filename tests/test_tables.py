@@ -39,3 +39,33 @@ def test_clear_scratch_removes_only_own_tables(spark):
     assert clear_scratch(spark) is True
     assert not os.path.exists(root.replace("file:", ""))
     assert os.path.isdir(spark.sparkContext.getCheckpointDir().replace("file:", ""))
+
+
+def test_csv_header_and_values_are_checked(spark):
+    import pytest
+    root = tempfile.mkdtemp(prefix="csv-")
+    for name, text in (("order", "Gender,id,Age\n7,Male,3\n"), ("bad", "id,Gender,Age\n1,Male,abc\n")):
+        with open(f"{root}/{name}.csv", "w") as f:
+            f.write(text)
+    schema = "id long, Gender string, Age int"
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        tables.read_csv(spark, f"{root}/order.csv", schema).collect()
+    with pytest.raises(Exception):
+        tables.read_csv(spark, f"{root}/bad.csv", schema).collect()
+    assert tables.read_csv(spark, f"{root}/bad.csv", schema, mode="PERMISSIVE").first().Age is None
+
+
+def test_saved_view_reads_saved_tables(spark):
+    tables.reset_database(spark, "views_test")
+    tables.save_table(spark.range(5), "views_test.base", path=tempfile.mkdtemp(prefix="tbl-") + "/b")
+    tables.create_saved_view(spark, "views_test.big", "SELECT id FROM views_test.base WHERE id > 2")
+    assert spark.newSession().table("views_test.big").count() == 2
+    tables.drop_view(spark, "views_test.big")
+    tables.reset_database(spark, "views_test")
+
+
+def test_saved_table_partitions(spark):
+    path = tempfile.mkdtemp(prefix="tbl-") + "/p"
+    tables.save_table(spark.range(100), "parts_tmp", partitions=3, path=path)
+    assert len(spark.table("parts_tmp").inputFiles()) == 3
+    tables.drop_table(spark, "parts_tmp")
