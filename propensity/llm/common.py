@@ -34,6 +34,15 @@ def discard(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+MAX_BROADCAST_ROWS = 1 << 20
+
+
+def bounded_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A broadcast hint only if the (staged, narrow) table was counted to hold
+    at most ``MAX_BROADCAST_ROWS`` rows; beyond that the join is left to Spark."""
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= MAX_BROADCAST_ROWS else df
+
+
 def unit_hash(column: Column, modulus: int) -> Column:
     """crc32 of a key's text form modulo ``modulus`` (a NULL key counts as '')."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
@@ -41,4 +50,7 @@ def unit_hash(column: Column, modulus: int) -> Column:
 
 def row_fingerprint(df: DataFrame) -> Column:
     """A 64-bit hash over every column: equal rows get equal values."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    def hashable(field):
+        column = F.col(f"`{field.name}`")
+        return F.to_json(F.struct(column)) if "map<" in field.dataType.simpleString() else column
+    return F.xxhash64(*[hashable(f) for f in df.schema.fields])

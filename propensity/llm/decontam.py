@@ -33,12 +33,11 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propensity.llm.common import row_fingerprint, staged
+from propensity.llm.common import bounded_broadcast, row_fingerprint, staged
 
 SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS, BLOCKS = 23, 8
-MAX_BROADCAST_ROWS = 1 << 20       # beyond this measured size, joins are left to Spark
 
 
 def words(text) -> Column:
@@ -53,11 +52,6 @@ def shingles(tokens: str, size: int) -> Column:
                   "ELSE array() END")
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    """A broadcast hint only if the (staged) table was counted to be small."""
-    return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
-
-
 def with_simhash(sets: DataFrame, keys: list[str]) -> DataFrame:
     """``sets(*keys, w)`` plus ``fp``: bit b is set if more than half the hashes have it."""
     bits = [F.sum(F.shiftright("h", b).bitwiseAND(F.lit(1))).alias(f"b{b}") for b in range(64)]
@@ -124,12 +118,12 @@ def _leaks_of_size(body: DataFrame, items: DataFrame, size: int) -> DataFrame:
                                         F.min("need").alias("need")), "bench-shingles")
     hit = (body.select("uid", words("text").alias("t"))
            .select("uid", F.posexplode(shingles("t", size)).alias("pos", "h")))
-    anchors = hit.join(_bounded(marks), "h").select("uid", "pos", "lengths", "need")
+    anchors = hit.join(bounded_broadcast(marks), "h").select("uid", "pos", "lengths", "need")
     # A document's anchors are at most its own shingles: bounded by the text itself.
     starts, _ = staged(anchors.groupBy("uid").agg(
         F.collect_list(F.struct("pos", "lengths")).alias("at"), F.count("*").alias("found"),
         F.min("need").alias("need")).where("found >= need").select("uid", "at"), "anchors")
-    near = body.join(_bounded(starts.select("uid")), "uid", "left_semi")
+    near = body.join(bounded_broadcast(starts.select("uid")), "uid", "left_semi")
     placed = (near.join(starts, "uid").select("uid", "at", words("text").alias("t"))
               .select("uid", "at", shingles("t", size).alias("s")))
     windows = placed.select("uid", F.explode(F.expr(
@@ -172,4 +166,4 @@ def decontaminate(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text:
     marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
                          F.struct(F.col(f"`{key}`").alias("id"),
                                   row_fingerprint(docs).alias("row")).alias("uid"))
-    return marked.join(_bounded(found), "uid", "left_anti").select("doc.*")
+    return marked.join(bounded_broadcast(found), "uid", "left_anti").select("doc.*")

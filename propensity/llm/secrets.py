@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propensity.llm.common import row_fingerprint, staged
+from propensity.llm.common import bounded_broadcast, row_fingerprint, staged
 
 # The base kinds in the order in which ties are listed.
 KINDS = ("assign", "access", "hex", "mixed")
@@ -160,6 +160,9 @@ def redact(docs: DataFrame, key: str = "doc_id", owner: str = "source", text: st
                                   "f -> struct(f.start, f.end))").alias("spans"))
             .where(F.size("spans") > 0).dropDuplicates(["key"])
             .select(F.col("key.id").alias("id"), F.col("key.row").alias("row"), "spans"))
+    hits, _ = staged(hits, "secret-hits")
+    total = hits.agg(F.sum(F.size("spans") + 1)).first()[0] or 0
+    hits = bounded_broadcast(hits, total)
 
     @F.pandas_udf("string")
     def masked(texts, spans):

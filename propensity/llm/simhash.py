@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propensity.llm.common import discard, row_fingerprint, staged
+from propensity.llm.common import bounded_broadcast, row_fingerprint, staged
 from propensity.llm.components import connected_components
 
 SEED = 42
@@ -278,10 +278,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     counted = found.groupBy("key", "component").agg(F.count("*").alias("n")).select(
         F.col("key.row").alias("row"), F.col("key.id").alias("id"), "n",
         (F.col("key") == F.col("component")).alias("stays"))
-    gone = counted.where("not stays").select("row", "id")
-    repeated = counted.where("stays and n > 1").select("row", "id")
+    counted, _ = staged(counted.where("not stays or n > 1"), "to-remove")
+    gone = bounded_broadcast(counted.where("not stays").select("row", "id"))
+    repeated = bounded_broadcast(counted.where("stays").select("row", "id"))
     match = [F.col("key.row") == F.col("row"), F.col("key.id").eqNullSafe(F.col("id"))]
     kept = marked.join(gone, match, "left_anti")
     once = kept.join(repeated, match, "left_anti").select("doc.*")
-    again = kept.join(repeated, match, "left_semi").select("doc.*").dropDuplicates()
+    again = kept.join(repeated, match, "left_semi").dropDuplicates(["key"]).select("doc.*")
     return once.union(again)
