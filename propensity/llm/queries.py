@@ -24,8 +24,8 @@ def op2_sentencepiece(spark, sf_dir, model_file=None):
     import public_tokenizers
 
     model_file = model_file or public_tokenizers.path("piece_bpe_32k.model")
-    encoded = pieces.encode(table(spark, sf_dir, "documents"), model_file, F.col("doc_id"))
-    return pieces.digest(encoded, model_file).withColumnRenamed("key", "doc_id")
+    return (pieces.encode_digest(table(spark, sf_dir, "documents"), model_file, F.col("doc_id"))
+            .withColumnRenamed("key", "doc_id"))
 
 
 def op3_decontamination(spark, sf_dir):

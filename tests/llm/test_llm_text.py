@@ -329,7 +329,9 @@ def test_pieces_equal_viterbi_and_round_trip(spark, model_file):
         assert got[i] == slow_viterbi(text, table), text[:50]
     back = {r.key: r.decoded for r in pieces.decode(encoded, model_file).collect()}
     assert all(back[i] == (t or "") for i, t in rows)
-    assert all(r.round_trip for r in pieces.digest(encoded, model_file).collect())
+    for r in pieces.encode_digest(docs, model_file, F.col("doc_id"), keep_ids=True).collect():
+        assert r.round_trip and r.ids == got[r.key] and r.n_pieces == len(r.ids)
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
 
 
 def test_rare_segments_take_the_joined_path(spark, model_file, monkeypatch):
@@ -344,7 +346,7 @@ def test_rare_segments_take_the_joined_path(spark, model_file, monkeypatch):
 
 def test_piece_edges(spark, model_file):
     docs = edge_docs(spark)
-    out = pieces.digest(pieces.encode(docs, model_file, F.col("doc_id")), model_file).collect()
+    out = pieces.encode_digest(docs, model_file, F.col("doc_id")).collect()
     assert len(out) == docs.count() and all(r.round_trip for r in out)
     assert pieces.encode(empty_docs(spark), model_file, F.col("doc_id")).collect() == []
 
