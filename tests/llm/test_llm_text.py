@@ -231,9 +231,10 @@ def slow_base(text):
 
 
 def test_secret_spans(spark):
-    got = {r.doc_id: r for r in queries.op5_secret_scan(spark, SF).collect()}
+    larger = "/root/testdata/sf0.01"
+    got = {r.doc_id: r for r in queries.op5_secret_scan(spark, larger).collect()}
     found = 0
-    for r in documents(spark).collect():
+    for r in spark.read.parquet(f"{larger}/documents.parquet").collect():
         base, counts = slow_base(r.text)
         row = got[r.doc_id]
         assert [row.n_assign, row.n_access, row.n_hex] == counts
@@ -258,7 +259,7 @@ def test_ownership_separates_examples_from_live(spark):
     live, example = "Zx9Qw3Er7Ty1Ui5Op8As2Df6", "Ab1Cd2Ef3Gh4Ij5Kl6Mn7Op8"
     rows = [(i, f"key {example} here", f"o{i}") for i in range(8)]
     rows += [(100, f"a {live} b token = {example}", "o1"), (101, f"again {live}", "o1"),
-             (102, "aaaaaaaaaaaaaaaaaaaaaaaa1", "o2"), (103, None, None), (104, "", "o1")]
+             (102, "zzzzzzzzzzzzzzzzzzzzzzzzz1", "o2"), (103, None, None), (104, "", "o1")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn(
         "n_chars", F.length("text").cast("long"))
     out = {r.key: r.found for r in secrets.scan(docs, F.col("doc_id")).collect()}
