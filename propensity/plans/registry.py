@@ -436,27 +436,6 @@ def q_best_run_scores(spark, sf_dir):
     return balanced.unionByName(whole)
 
 
-@register("search_runs", None)
-def q_search_runs(spark, sf_dir):
-    """M8: the hyper-parameter search, ten evaluations ranked by F1 on test."""
-    from ..operators import models
-    from .workflow import f1_by_split, metrics_dict, narrow
-    # Merged to partitions of the advisory size: learners pay per partition and pass.
-    data = sampling.materialize(narrow(_balanced_split(spark, sf_dir)).hint("rebalance"), "search-data")
-    train, test = (data.where(F.col("split") == x).drop("split") for x in ("train", "test"))
-
-    def evaluate(model, fitted_on, evalset):
-        both = (fitted_on.withColumn("split", F.lit("train"))
-                .unionByName(evalset.withColumn("split", F.lit("test"))))
-        return metrics_dict(f1_by_split(model, both))
-
-    found = models.search(train, test, evaluate, parallelism=5)
-    rows = [(i + 1, r["params"]["max_depth"], r["params"]["n_estimators"],
-             r["metrics"].get("f1_train"), r["metrics"].get("f1_test")) for i, r in enumerate(found)]
-    return spark.createDataFrame(
-        rows, "rank int, max_depth int, n_estimators int, f1_train double, f1_test double")
-
-
 @register("scored_table", None)
 def q_scored_table(spark, sf_dir):
     """U1 + M13: train/test recombined (inference data), scored by the boosted
