@@ -21,7 +21,9 @@ number of times a shingle occurs), sum of minima over sum of maxima.
    deviations over the expected distance at similarity 0.8.
 4. Pairs within the radius are verified exactly.
 
-Defined cases: NULL, empty or wordless texts and items match nothing;
+Defined cases: NULL, empty or wordless texts and items match nothing; an item
+with a NULL id is an item like any other; of several texts under one id the best
+match is reported;
 documents shorter than an item are one window; ties go to the earliest window;
 repeated document rows are reported once; empty tables give an empty result.
 """
@@ -53,7 +55,7 @@ def shingles(tokens: str, size: int) -> Column:
 
 
 def with_simhash(sets: DataFrame, keys: list[str]) -> DataFrame:
-    """``sets(*keys, w)`` plus ``fp``: bit b is set if more than half the hashes have it."""
+    """``sets(*keys, w, ...)`` plus ``fp``: bit b is set if more than half the hashes have it."""
     bits = [F.sum(F.shiftright("h", b).bitwiseAND(F.lit(1))).alias(f"b{b}") for b in range(64)]
     counted = (sets.select(*keys, F.explode("w").alias("h"))
                .groupBy(*keys).agg(F.count("*").alias("n_"), *bits))
@@ -83,13 +85,14 @@ def near_masks() -> list[int]:
 
 
 def items_of(bench: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """(item, size, n, w, need): shingles of every item that has a word; ``need``
-    is the least number of shared shingles at the threshold."""
+    """(item, row, size, n, w, need): shingles of every item that has a word; ``row``
+    tells apart texts under one id, NULL ids included; ``need`` is the least number
+    of shared shingles at the threshold."""
     tokens = bench.select(F.col(f"`{item}`").alias("item"), words(F.col(f"`{text}`")).alias("t")
                           ).where(F.size("t") > 0).distinct()
     size = F.least(F.size("t"), F.lit(SHINGLE))
     w = F.coalesce(*[F.when(size == k, shingles("t", k)) for k in range(1, SHINGLE + 1)])
-    return (tokens.select("item", size.alias("size"), w.alias("w"))
+    return (tokens.select("item", F.xxhash64("item", "t").alias("row"), size.alias("size"), w.alias("w"))
             .withColumn("n", F.size("w"))
             .withColumn("need", F.ceil(F.lit(SIMILARITY) * F.col("n") - 1e-9)))
 
@@ -135,19 +138,20 @@ def _leaks_of_size(body: DataFrame, items: DataFrame, size: int) -> DataFrame:
     contents = occurrences.groupBy("n", "cid").agg(F.first("w").alias("w"))
     prints, _ = staged(with_simhash(contents, ["n", "cid"]).withColumn("set", as_set("w"))
                        .select("n", "cid", "fp", "set"), "window-prints")
-    known, _ = staged(with_simhash(items.select("item", "n", "w"), ["item", "n"])
-                      .withColumn("set", as_set("w")).select("item", "n", "fp", "set"), "item-prints")
-    entered = (known.select("item", "n", F.explode(block_values("fp")).alias("b"))
-               .select("item", "n", "b.block", F.explode(F.array(*[
+    known, _ = staged(with_simhash(items.select("item", "row", "n", "w"), ["row", "n"])
+                      .withColumn("set", as_set("w")).select("item", "row", "n", "fp", "set"),
+                      "item-prints")
+    entered = (known.select("row", "n", F.explode(block_values("fp")).alias("b"))
+               .select("row", "n", "b.block", F.explode(F.array(*[
                    F.col("b.value").bitwiseXOR(F.lit(m).cast("long")) for m in near_masks()]))
                    .alias("value")))
     asked = (prints.select("n", "cid", F.explode(block_values("fp")).alias("b"))
              .select("n", "cid", "b.block", "b.value"))
-    pairs = asked.join(entered, ["n", "block", "value"]).select("n", "cid", "item").distinct()
+    pairs = asked.join(entered, ["n", "block", "value"]).select("n", "cid", "row").distinct()
     shared = F.size(F.array_intersect("set", "item_set"))
     verified = (pairs.join(prints, ["n", "cid"])
-                .join(known.select("item", "n", F.col("fp").alias("item_fp"),
-                                   F.col("set").alias("item_set")), ["item", "n"])
+                .join(known.select("item", "row", "n", F.col("fp").alias("item_fp"),
+                                   F.col("set").alias("item_set")), ["row", "n"])
                 .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
                 .select("n", "cid", "item",
                         (shared / (F.size("set") + F.size("item_set") - shared)).alias("similarity"))

@@ -215,6 +215,19 @@ def test_leaks_run_natively_and_on_edges(spark):
     assert decontam.decontaminate(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_items_without_id_or_sharing_one_are_found(spark):
+    rng = random.Random(11)
+    text = lambda: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(50))
+    shared, nameless = [text() for _ in range(24)], [text(), text()]
+    bench = [(i // 4, t) for i, t in enumerate(shared)] + [(None, t) for t in nameless]
+    docs = [(i, f"before {t} after") for i, t in enumerate(shared + nameless)] + [(99, text())]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    got = {(r.uid.id, r.item): r.similarity for r in decontam.leaks(frame, items).collect()}
+    assert got == {(i, item): 1.0 for i, (item, _) in enumerate(bench)}
+    assert [r.doc_id for r in decontam.decontaminate(frame, items).collect()] == [99]
+
+
 # ------------------------------------------------------------------- secrets
 
 def slow_base(text):
