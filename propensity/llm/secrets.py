@@ -4,8 +4,9 @@ Candidates of a text are the base patterns (assignments, access ids, hex runs)
 plus long mixed tokens that no base span touches.  Each candidate's value is
 hashed and the hashes are aggregated over the whole corpus: in how many
 distinct repositories, and with how many distinct owners, does the value
-occur?  A value that many owners share is a widely copied example; one that
-belongs to few owners and looks random is live-looking.  Base spans are always
+occur?  A value is a widely copied example if very many repositories hold it,
+whoever owns them, or if many owners share it in more than a few repositories;
+any other one that looks random is live-looking.  Base spans are always
 reported; a long mixed token becomes a span only if it is live-looking.
 
 Aggregation is two-level (value, owner) then (value), each with map-side
@@ -41,7 +42,9 @@ MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}")   # with a dig
 _DIGIT = re.compile(r"[0-9]")
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-MAX_OWNERS = 2          # more distinct owners than this: a widely copied example
+MAX_OWNERS = 2          # more distinct owners than this share an example ...
+FEW_REPOS = 4           # ... unless no more repositories than this hold it
+MAX_REPOS = 8           # more distinct repositories than this: an example, whoever owns them
 MIN_ENTROPY = 3.0       # bits a character of a live-looking value
 MASK = "[SECRET]"
 
@@ -109,8 +112,14 @@ def ownership(found: DataFrame) -> DataFrame:
                                         F.sum("repos").alias("repos"))
 
 
+def is_example(max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> Column:
+    return (F.col("repos") > max_repos) | ((F.col("owners") > max_owners)
+                                           & (F.col("repos") > FEW_REPOS))
+
+
 def scan(docs: DataFrame, key: Column, owner: str = "source", repo: Column | None = None,
-         text: str = "text", max_owners: int = MAX_OWNERS) -> DataFrame:
+         text: str = "text", max_owners: int = MAX_OWNERS,
+         max_repos: int = MAX_REPOS) -> DataFrame:
     """One row per input row: key, base counts and digest, and ``found``: an
     array of (start, kind, end, owners, repos, live) of every reported span."""
     rows = docs.select(key.alias("key"), F.col(f"`{owner}`").cast("string").alias("owner"),
@@ -123,7 +132,7 @@ def scan(docs: DataFrame, key: Column, owner: str = "source", repo: Column | Non
     each = seen.where(F.size("found") > 0).select(
         "row", "owner", "repo", F.explode("found").alias("f")).select("row", "owner", "repo", "f.*")
     judged = (each.join(ownership(each), "hash")
-              .withColumn("live", (F.col("owners") <= max_owners) & F.col("random"))
+              .withColumn("live", ~is_example(max_owners, max_repos) & F.col("random"))
               .where((F.col("kind") < 3) | F.col("live"))
               .groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
                   "start", "kind", "end", "owners", "repos", "live"))).alias("found")))

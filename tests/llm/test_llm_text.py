@@ -285,6 +285,22 @@ def test_ownership_separates_examples_from_live(spark):
     assert cleaned[103].text is None
 
 
+def test_repositories_and_owners_decide(spark):
+    one_owner, three, many = (f"{c}x9Qw3Er7Ty1Ui5Op8As2Df6" for c in "ABC")
+    rows = [(i, f"token = {one_owner}", "hot") for i in range(40)]
+    rows += [(100 + i, f"token = {three}", f"o{i}") for i in range(3)]
+    rows += [(200 + i, f"token = {many}", f"o{i % 3}") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn(
+        "n_chars", F.length("text").cast("long"))
+    out = {r.key: r.found[0] for r in secrets.scan(docs, F.col("doc_id")).collect()}
+    assert (out[0].owners, out[0].repos, out[0].live) == (1, 40, False)
+    assert (out[100].owners, out[100].repos, out[100].live) == (3, 3, True)
+    assert (out[200].owners, out[200].repos, out[200].live) == (3, 6, False)
+    cleaned = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert cleaned[0] == rows[0][1] and cleaned[200] == f"token = {many}"
+    assert cleaned[102] == f"token = {secrets.MASK}" or cleaned[102] == secrets.MASK
+
+
 def test_secret_edges(spark):
     docs = edge_docs(spark)
     assert secrets.scan(docs, F.col("doc_id")).count() == docs.count()
