@@ -6,8 +6,10 @@ hashed and the hashes are aggregated over the whole corpus: in how many
 distinct repositories, and with how many distinct owners, does the value
 occur?  A value is a widely copied example if very many repositories hold it,
 whoever owns them, or if many owners share it in more than a few repositories;
-any other one that looks random is live-looking.  Base spans are always
-reported; a long mixed token becomes a span only if it is live-looking.
+any other one is live-looking.  Base spans are always reported, and masked
+whatever their length or entropy unless they are examples.  A long mixed token
+becomes a span only if it is live-looking and random: digits among letters of
+both cases, or a long unbroken run of one case, and no path, slug or word.
 
 Aggregation is two-level (value, owner) then (value), each with map-side
 combine, so a value found in a third of all rows is never gathered; verdicts
@@ -39,13 +41,17 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}")   # with a digit
-_DIGIT = re.compile(r"[0-9]")
+_PART = re.compile(r"[A-Za-z0-9]+")
+# A number, a word, an acronym or joined words, each with a short number behind.
+_WORD = re.compile(r"[A-Za-z]?[0-9]+|(?:[A-Z]?[a-z]+|[A-Z]+)(?:[A-Z][a-z]+)*[A-Z]*[0-9]{0,4}")
+_CHANGE = re.compile(r"(?<=[0-9])[A-Za-z]|(?<=[A-Za-z])[0-9]")
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 MAX_OWNERS = 2          # more distinct owners than this share an example ...
 FEW_REPOS = 4           # ... unless no more repositories than this hold it
 MAX_REPOS = 8           # more distinct repositories than this: an example, whoever owns them
-MIN_ENTROPY = 3.0       # bits a character of a live-looking value
+MIN_ENTROPY = 3.0       # bits a character of a live-looking mixed token
+MIN_RUN, MIN_CHANGES = 24, 6    # one-case runs: length, and changes between letter and digit
 MASK = "[SECRET]"
 
 
@@ -54,6 +60,18 @@ def entropy(value: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values())
 
 
+def is_random(value: str) -> bool:
+    """Whether a mixed token looks like a key rather than a path, slug or word."""
+    parts = _PART.findall(value)
+    odd = [p for p in parts if not _WORD.fullmatch(p)]
+    joined = "".join(odd)
+    if 2 * len(joined) < sum(map(len, parts)) or not any(c.isdigit() for c in joined) \
+            or entropy(value) < MIN_ENTROPY:
+        return False
+    return (joined.lower() != joined != joined.upper()
+            or any(len(p) >= MIN_RUN and len(_CHANGE.findall(p)) >= MIN_CHANGES for p in odd))
+
+
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     """(start, kind index, end, value) of the base patterns, by start and kind."""
     found, low = [], text.lower()
@@ -66,12 +84,12 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def candidates(text: str | None):
-    """Base spans, and the mixed tokens that touch none of them."""
+    """Base spans, and the random mixed tokens that touch none of them."""
     text = text or ""
     base = base_spans(text)
     extra = [(m.start(), 3, m.end(), m[0]) for m in MIXED.finditer(text)
-             if _DIGIT.search(m[0])
-             and not any(s < m.end() and m.start() < e for s, _, e, _ in base)]
+             if not any(s < m.end() and m.start() < e for s, _, e, _ in base)
+             and is_random(m[0])]
     return base, extra
 
 
@@ -80,9 +98,9 @@ def listed(spans) -> str:
 
 
 _CANDIDATE = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()),
-                        ("hash", pa.int64()), ("random", pa.bool_())])
+                        ("hash", pa.int64())])
 _SCAN = ("n_assign long, n_access long, n_hex long, base_sha256 string, "
-         "found array<struct<start:long, kind:int, end:long, hash:long, random:boolean>>")
+         "found array<struct<start:long, kind:int, end:long, hash:long>>")
 
 
 def _scan_batches(batches):
@@ -94,8 +112,7 @@ def _scan_batches(batches):
                 column.append(sum(k == kind for _, k, _, _ in base))
             digests.append(hashlib.sha256(listed(base).encode()).hexdigest())
             found.append([{"start": s, "kind": k, "end": e,
-                           "hash": xxhash.xxh64_intdigest(v.encode()) - (1 << 63),
-                           "random": len(v) >= 8 and entropy(v) >= MIN_ENTROPY}
+                           "hash": xxhash.xxh64_intdigest(v.encode()) - (1 << 63)}
                           for s, k, e, v in base + extra])
         keep = [batch.column(c) for c in ("key", "owner", "repo")]
         yield pa.RecordBatch.from_arrays(
@@ -132,7 +149,7 @@ def scan(docs: DataFrame, key: Column, owner: str = "source", repo: Column | Non
     each = seen.where(F.size("found") > 0).select(
         "row", "owner", "repo", F.explode("found").alias("f")).select("row", "owner", "repo", "f.*")
     judged = (each.join(ownership(each), "hash")
-              .withColumn("live", ~is_example(max_owners, max_repos) & F.col("random"))
+              .withColumn("live", ~is_example(max_owners, max_repos))
               .where((F.col("kind") < 3) | F.col("live"))
               .groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
                   "start", "kind", "end", "owners", "repos", "live"))).alias("found")))

@@ -301,6 +301,22 @@ def test_repositories_and_owners_decide(spark):
     assert cleaned[102] == f"token = {secrets.MASK}" or cleaned[102] == secrets.MASK
 
 
+def test_paths_stay_and_short_base_secrets_go(spark):
+    clean = ["see /2021/05/some-article-slug-about-gardens", "https://ex.com/wiki/AK47-rifle-history-of-it",
+             "covid19-vaccination-programme-2021-overview", "docs/api/v2/getElementById/fooBarBaz/part3",
+             "Chapter12_AppendixB_SummaryOfResults2020", "1234-5678-9012-3456-7890-1234-5678"]
+    keys = ["wJalrXUtnFEMI/K7MDENG/bPxRfi4Yq8zT3", "x7k2m9q4w8e5r1t6y3u0i2o5", "Zx9Qw3Er7Ty1Ui5Op8As2Df6",
+            "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9"]
+    base = ["password = abc123", "secret: aabbccdd", "token=hunter22", "f" * 24, "AKIA" + "A" * 16]
+    texts = clean + keys + base
+    docs = spark.createDataFrame([(i, f"before {t} after", "s") for i, t in enumerate(texts)],
+                                 "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    for i, text in enumerate(texts):
+        same = got[i] == f"before {text} after"
+        assert same if text in clean else not same and secrets.MASK in got[i], text
+
+
 def test_secret_edges(spark):
     docs = edge_docs(spark)
     assert secrets.scan(docs, F.col("doc_id")).count() == docs.count()
