@@ -169,6 +169,23 @@ def test_article_text():
     assert html_text.host_of(None) is None
 
 
+def test_telling_parts_of_names_do_not_drop_main_text():
+    kept = lambda page: [t for t, kind in html_text.parse(page) if kind == html_text.KEEP]
+    left = lambda page: [t for t, kind in html_text.parse(page) if kind != html_text.DROP]
+    for name in ("layout has-sidebar", "no-sidebar", "with-comments"):
+        assert kept(f'<div class="{name}"><nav>n</nav><article><p>text</p></article></div>') == ["text"]
+    assert kept('<main><h1>T</h1><div class="no-sidebar"><article>text</article></div></main>') == ["T", "text"]
+    page = ('<article class="ad-free"><h2 id="cookies">Cookies</h2><h2 id="menu">Menu</h2>'
+            '<p>We <span class="share">share</span> it<p class="notice">Notice<div class="ad">buy</div></article>')
+    assert kept(page) == ["Cookies", "Menu", "We share it"]
+    assert left(page) == ["Cookies", "Menu", "We share it", "Notice"]
+    assert kept("<main><p>one<p>two<article>teaser</article></main>") == ["one", "two", "teaser"]
+    assert left('<div class="content"><p>one<article>teaser</article></div>') == ["one", "teaser"]
+    assert left('<article>a<div class="comments"><article class="x">c</article></div></article>') == ["a"]
+    assert html_text.parse('<div class="cookie-bar">c</div><p>t') == [("c", html_text.OPEN), ("t", html_text.OPEN)]
+    assert kept('<article>a<div class="related-posts"><article>r</article></div></article>') == ["a"]
+
+
 def test_pages_match_their_articles(spark):
     import html
     import re
