@@ -223,6 +223,25 @@ def test_repeated_runs_leave_open_blocks(spark):
     assert html_text.extract(pages.limit(0)).collect() == []
 
 
+def test_host_templates_leave_articles_and_copies_stay(spark):
+    words = lambda seed, n: " ".join(
+        "".join(random.Random(f"{seed}{i}").choices("abcdefgh", k=6)) for i in range(n))
+    advert, passage, copied = words("advert", 12), words("passage", 20), [words(f"c{i}", 15) for i in range(4)]
+    page = lambda blocks: "<article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article>"
+    own = {i: [words(f"{i}a", 15), advert, words(f"{i}b", 15)] for i in range(40)}
+    own[0] = [words("0a", 15), advert]                          # at the end of the article
+    own |= {i: [words(f"{i}a", 15), passage, words(f"{i}b", 15)] for i in range(40, 43)}
+    own |= {i: copied for i in range(50, 60)}                   # exact copies
+    own |= {60 + i: [*copied[:i], words(f"n{i}", 15), *copied[i + 1:]] for i in range(4)}  # near copies
+    rows = [(i, f"http://h.example/{i}", page(b)) for i, b in own.items()]
+    rows += [(100, "http://other.example/", page(own[0]))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
+    for i, blocks in own.items():
+        assert got[i] == "\n".join(b for b in blocks if b != advert), i
+    assert got[100] == "\n".join(own[0])
+
+
 def slow_covered(streams, run):
     """Positions that a substring of ``run`` tokens shared by two pages covers."""
     seen = {}
