@@ -14,12 +14,11 @@ number of times a shingle occurs), sum of minima over sum of maxima.
 2. Equal windows are merged, so a passage that very many documents share is
    examined once.  Each distinct window and each item gets a 64-bit SimHash of
    its shingle weights.
-3. Multi-index: two fingerprints within ``RADIUS`` bits agree to
-   ``RADIUS // BLOCKS`` bits in at least one of ``BLOCKS`` blocks; items are
-   entered under every block value that near, windows look up their own.
-   That finds *all* pairs within the radius.  The radius leaves 4.6 standard
-   deviations over the expected distance at similarity 0.8.
-4. Pairs within the radius are verified exactly.
+3. An item is looked up under its rarest shingles only, one more than a match may
+   lack: every match shares one of them, and a shingle that many items hold
+   pairs nothing.  (Blocks of a fingerprint do not prune at this radius.)
+4. Pairs whose fingerprints are within ``RADIUS`` bits are verified exactly.  The
+   radius leaves 4.6 standard deviations over the expected distance at similarity 0.8.
 
 Defined cases: NULL, empty or wordless texts and items match nothing; an item
 with a NULL id is an item like any other; of several texts under one id the best
@@ -30,8 +29,6 @@ repeated document rows are reported once; empty tables give an empty result.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +36,7 @@ from propensity.llm.common import bounded_broadcast, row_fingerprint, staged
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS, BLOCKS = 23, 8
+RADIUS = 23
 
 
 def words(text) -> Column:
@@ -71,17 +68,18 @@ def as_set(w: str) -> Column:
     return F.expr(f"transform({w}, (h, i) -> xxhash64(h, size(filter(slice({w}, 1, i), x -> x = h))))")
 
 
-def block_values(fp: str) -> Column:
-    width = 64 // BLOCKS
-    return F.array(*[F.struct(F.lit(b).alias("block"),
-                              F.shiftright(fp, b * width).bitwiseAND(F.lit((1 << width) - 1))
-                              .alias("value")) for b in range(BLOCKS)])
-
-
-def near_masks() -> list[int]:
-    width = 64 // BLOCKS
-    return [sum(1 << b for b in flips) for r in range(RADIUS // BLOCKS + 1)
-            for flips in combinations(range(width), r)]
+def sharing(prints: DataFrame, known: DataFrame) -> DataFrame:
+    """Distinct (n, cid, row) of windows and items that share one of the item's
+    ``n - need + 1`` rarest shingles; a pair without one shares fewer than ``need``."""
+    held = known.select("row", "n", "need", F.explode("set").alias("h"))
+    counts = held.groupBy("n", "h").agg(F.count("*").alias("items"))
+    rarest = (held.join(counts, ["n", "h"]).groupBy("row", "n", "need")
+              .agg(F.sort_array(F.collect_list(F.struct("items", "h"))).alias("by"))  # one item's own
+              .select("row", "n", F.explode(F.expr("slice(by, 1, int(n - need + 1))")).alias("s"))
+              .select("row", "n", F.col("s.h").alias("h")))
+    rarest, _ = staged(rarest, "item-rarest")
+    return (prints.select("n", "cid", F.explode("set").alias("h"))
+            .join(bounded_broadcast(rarest), ["n", "h"]).select("n", "cid", "row").distinct())
 
 
 def items_of(bench: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
@@ -138,16 +136,11 @@ def _leaks_of_size(body: DataFrame, items: DataFrame, size: int) -> DataFrame:
     contents = occurrences.groupBy("n", "cid").agg(F.first("w").alias("w"))
     prints, _ = staged(with_simhash(contents, ["n", "cid"]).withColumn("set", as_set("w"))
                        .select("n", "cid", "fp", "set"), "window-prints")
-    known, _ = staged(with_simhash(items.select("item", "row", "n", "w"), ["row", "n"])
-                      .withColumn("set", as_set("w")).select("item", "row", "n", "fp", "set"),
+    known, _ = staged(with_simhash(items.select("item", "row", "n", "need", "w"), ["row", "n"])
+                      .withColumn("set", as_set("w"))
+                      .select("item", "row", "n", "need", "fp", "set"),
                       "item-prints")
-    entered = (known.select("row", "n", F.explode(block_values("fp")).alias("b"))
-               .select("row", "n", "b.block", F.explode(F.array(*[
-                   F.col("b.value").bitwiseXOR(F.lit(m).cast("long")) for m in near_masks()]))
-                   .alias("value")))
-    asked = (prints.select("n", "cid", F.explode(block_values("fp")).alias("b"))
-             .select("n", "cid", "b.block", "b.value"))
-    pairs = asked.join(entered, ["n", "block", "value"]).select("n", "cid", "row").distinct()
+    pairs = sharing(prints, known)
     shared = F.size(F.array_intersect("set", "item_set"))
     verified = (pairs.join(prints, ["n", "cid"])
                 .join(known.select("item", "row", "n", F.col("fp").alias("item_fp"),

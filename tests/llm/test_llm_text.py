@@ -198,6 +198,23 @@ def test_leaks_equal_brute_force(spark):
     assert kept == {d for d, _ in docs} - {d for d, _ in expected}
 
 
+def test_candidates_share_a_rare_shingle(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    opening = [word() for _ in range(20)]                       # common to all items
+    bench = [(i, " ".join(opening + [word() for _ in range(30)])) for i in range(40)]
+    items = decontam.items_of(spark.createDataFrame(bench, "item_id long, text string"))
+    known = (decontam.with_simhash(items, ["row", "n"]).withColumn("set", decontam.as_set("w"))
+             .select("row", "n", "need", "set"))
+    prints = known.select("n", F.col("row").alias("cid"), "set")
+    pairs = {(r.cid, r.row) for r in decontam.sharing(prints, known).collect()}
+    assert len(pairs) == 40 and all(a == b for a, b in pairs)   # not 40 x 40
+    docs = [(i, f"x {t} y") for i, t in bench]
+    found = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                           spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r.uid.id, r.item) for r in found} == {(i, i) for i in range(40)}
+
+
 def test_leaks_run_natively_and_on_edges(spark):
     docs = edge_docs(spark)
     passage = docs.where("doc_id = 7").first().text
