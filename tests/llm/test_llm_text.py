@@ -407,6 +407,24 @@ def test_rare_segments_take_the_joined_path(spark, model_file, monkeypatch):
     assert whole == {r.key: r.ids for r in pieces.encode(docs, model_file, F.col("doc_id")).collect()}
 
 
+def test_head_is_bounded_by_bytes(spark, model_file, monkeypatch):
+    table = pieces.PieceTable(model_file)
+    rng = random.Random(8)
+    runs = ["".join(rng.choices("abcdefghijklmnop", k=1200)) for _ in range(6)]
+    texts = [f"some words {r} and words" for r in runs * 2] + ["some more words"] * 5
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = {r.key: r.ids for r in pieces.encode(docs, model_file, F.col("doc_id")).collect()}
+    segments = pieces.segment_table(docs, table).persist()
+    hashes, offsets, _ = pieces._head(segments, len(table.raw))
+    assert 0 < len(hashes) < segments.count()                        # the long runs stay out
+    assert np.diff(offsets.astype(int)).max() <= pieces.HEAD_IDS
+    monkeypatch.setattr(pieces, "HEAD_BYTES", 40)
+    hashes, _, ids = pieces._head(segments, len(table.raw))
+    assert 12 * len(hashes) + 4 * len(ids) <= 40
+    assert whole == {r.key: r.ids for r in pieces.encode(docs, model_file, F.col("doc_id")).collect()}
+    assert whole[0] == slow_viterbi(texts[0], table)
+
+
 def test_piece_edges(spark, model_file):
     docs = edge_docs(spark)
     out = pieces.encode_digest(docs, model_file, F.col("doc_id")).collect()
