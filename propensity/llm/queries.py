@@ -6,7 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from propensity.llm import ann, decontam, html_text, langid, pieces, secrets, sharding, simhash, tokenfile, toxicity
+from propensity.llm import (ann, decontam, html_text, langid, mixing, negatives, pieces,
+                            repair, secrets, sharding, simhash, tokenfile, toxicity)
+from propensity.llm import oracles
 from propensity.llm.common import table, unit_hash
 from propensity.session import ensure_checkpoint_dir, scratch_path
 
@@ -81,6 +83,22 @@ def op10_token_binary(spark, sf_dir, tokenizer_file=None):
     return tokenfile.read_token_files(spark, path, digest=True)
 
 
+def op11_conversation_repair(spark, sf_dir):
+    damaged = repair.damage(table(spark, sf_dir, "conversations"))
+    return repair.report(damaged, absent=F.col("dropped"))
+
+
+def op12_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.expr(
+        "if(vec_id % 7 = 0, (cast(label as bigint) + 1) % 10, cast(label as bigint))").alias("label"))
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0, positives=5, negatives=3, low=50, high=95)
+
+
+def op13_mixing(spark, sf_dir):
+    return mixing.allot(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, epochs=2).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_sentencepiece": op2_sentencepiece,
@@ -92,5 +110,11 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_binary": op10_token_binary,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_mixing": op13_mixing,
+}
+ORACLES: dict[str, str] = {
+    "op12_hard_negatives": oracles.HARD_NEGATIVES,
+    "op13_mixing": oracles.MIXING,
 }
-ORACLES: dict[str, str] = {}
