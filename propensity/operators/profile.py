@@ -251,40 +251,38 @@ def preview(df: DataFrame, n: int = 100, order: list[str] | None = None) -> Data
     return (df.orderBy(*order) if order else df).limit(n)
 
 
-def box_by(df: DataFrame, col: str, label: str = S.LABEL, key: str = S.KEY) -> DataFrame:
+def box_by(df: DataFrame, col: str, label: str = S.LABEL) -> DataFrame:
     """Box-plot summary per label: exact quartiles (linear interpolation
     between order statistics, like ``quantile_cont``), 1.5 IQR whiskers and
-    the outlier count.
+    the outlier count.  NULL values are skipped, NaN counts as the largest.
 
-    Exact quantiles come from the distributed contiguous index (range
-    partitioning on (label, x)), not from a collect-all percentile aggregate,
-    so a class holding most rows is still spread over many tasks."""
-    from .sampling import dense_index, group_key, materialize
+    The order statistics come from counts of leading bits (see ``quantiles``): no
+    sort, nothing row-level written; a last aggregate finds whiskers and outliers."""
+    from .quantiles import order_values
+    from .sampling import group_key, materialize
 
-    # A unique tiebreaker after x: a frequent value (e.g. a zero amount) is
-    # otherwise one range key that a single task would receive whole.
-    tie = F.col(key) if key in df.columns else F.monotonically_increasing_id()
-    base = (df.select(F.col(label), F.col(col).cast("double").alias("_x"), tie.alias("_t"))
+    base = (df.select(F.col(label), F.col(col).cast("double").alias("_x"), group_key([label]).alias("_g"))
             .where(F.col("_x").isNotNull()))
-    idx = materialize(dense_index(base, [label], ["_x", "_t"], name="_i")
-                      .select(label, "_x", "_i", group_key([label]).alias("_g")), "ranked-values")
-    x, m = F.col("_x"), F.col("_m")
-    totals = idx.groupBy("_g").agg(F.count(F.lit(1)).alias("_m"))
-    probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    picks, wanted = [], []
-    for name, p in probs.items():
-        h = F.lit(p) * (m - F.lit(1)).cast("double")
-        lo_i, hi_i = F.floor(h), F.ceil(h)
-        wanted += [lo_i, hi_i]
-        lo_v = F.max(F.when(F.col("_i") == lo_i, x))
-        hi_v = F.max(F.when(F.col("_i") == hi_i, x))
-        picks.append((lo_v + (F.max(h) - F.max(lo_i)) * (hi_v - lo_v)).alias(name))
-    # At most 6 ranks per label: the rows are found by rank, not sorted again.
-    ranks = totals.select("_g", "_m", F.explode(F.array_distinct(F.array(*wanted))).alias("_i"))
-    quart = materialize(idx.join(ranks, ["_g", "_i"]).groupBy("_g").agg(*picks), "quartiles")
+    x, m = F.col("_x"), (F.col("_m") - F.lit(1)).cast("double")
+    places = {name: F.lit(p) * m for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))}
+    wanted = lambda totals: totals.select("_g", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("_q"), h.alias("_h"), F.floor(h).alias("_lo"), F.ceil(h).alias("_hi"))
+        for name, h in places.items()])).alias("p")).select("_g", "p.*")
+    asked = []
+
+    def ranks(totals):
+        asked.append(wanted(totals))
+        return asked[0].select("_g", F.explode(F.array("_lo", "_hi")).alias("_rank"))
+
+    values = order_values(base.select("_g", "_x"), ranks)
+    at = lambda end: values.select("_g", F.col("_rank").alias(end), F.col("_x").alias(f"_v{end}"))
+    quart = materialize(
+        asked[0].join(at("_lo"), ["_g", "_lo"]).join(at("_hi"), ["_g", "_hi"])
+        .select("_g", "_q", (F.col("_v_lo") + (F.col("_h") - F.col("_lo")) * (F.col("_v_hi") - F.col("_v_lo")))
+                .alias("_x")).groupBy("_g").pivot("_q", list(places)).agg(F.first("_x")), "quartiles")
     iqr = F.col("q3") - F.col("q1")
     lf, uf = F.col("q1") - F.lit(1.5) * iqr, F.col("q3") + F.lit(1.5) * iqr
-    return (idx.join(quart, "_g").withColumns({"_lf": lf, "_uf": uf}).groupBy(label).agg(
+    return (base.join(quart, "_g").withColumns({"_lf": lf, "_uf": uf}).groupBy(label).agg(
         F.count(F.lit(1)).alias("n"), F.min(x).alias("min"),
         F.first("q1").alias("q1"), F.first("median").alias("median"),
         F.first("q3").alias("q3"), F.max(x).alias("max"),
