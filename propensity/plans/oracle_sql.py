@@ -359,3 +359,131 @@ def sample_charts(cols: list[str], kind: str) -> str:
         body.append(f"select *, '{c}' as feature from ({chart})")
     sample = SAMPLE_N.strip()
     return f"with t as ({sample})\n" + "\nunion all\n".join(body)
+
+
+# --- learners' steps and fixed models ---------------------------------------------
+
+#: (alpha, lambda) of the boosted stumps.
+STUMP_PENALTIES = [(0.0, 1.0), (0.1, 0.1), (5.0, 20.0)]
+
+
+def boosted_stump(features: list[str], penalties: list, bins: int, eta: float = 0.1) -> str:
+    """Best first split from margin 0 (gradient 0.5 - y, Hessian 0.25), cut points at
+    ``bins`` exact quantiles."""
+    long = " union all ".join(f"select '{f}' as feature, {i} as pos, cast({f} as double) as x, Response as y from t"
+                              for i, f in enumerate(features))
+    soft = lambda g: f"(sign({g}) * greatest(abs({g}) - a, 0.0))"
+    pens = ", ".join(f"({a!r}::double, {lam!r}::double)" for a, lam in penalties)
+    return with_prepared(f"""with x as ({long}),
+r as (select feature, x, row_number() over (partition by feature order by x) - 1 as r,
+             count(*) over (partition by feature) as m from x),
+q as (select distinct feature, x as cut from r join (select unnest(range(0, {bins + 1})) as i) k
+      on r.r = cast(floor(cast(k.i as double) * cast(m - 1 as double) / {float(bins)!r}) as bigint)),
+c as (select * from q qualify cut < max(cut) over (partition by feature)),
+s as (select x.feature, x.pos, c.cut, sum(case when x.x <= c.cut then 0.5 - x.y else 0.0 end)::double as gl,
+             sum(case when x.x <= c.cut then 0.25 else 0.0 end)::double as hl, sum(0.5 - x.y)::double as g,
+             sum(0.25)::double as h
+      from x join c on x.feature = c.feature group by x.feature, x.pos, c.cut),
+p as (select * from (values {pens}) v(a, lam)),
+b as (select *, round({soft('gl')} ** 2 / (hl + lam) + {soft('(g - gl)')} ** 2 / (h - hl + lam)
+                      - {soft('g')} ** 2 / (h + lam), 9) as gain from s, p where hl >= 1 and h - hl >= 1)
+select a as reg_alpha, lam as reg_lambda, feature, cut as threshold, round(gain, 6) as gain,
+       round(-{eta!r}::double * {soft('gl')} / (hl + lam), 9) as left_value,
+       round(-{eta!r}::double * {soft('(g - gl)')} / (h - hl + lam), 9) as right_value
+from b where gain > 1e-6 qualify row_number() over (partition by a, lam order by gain desc, pos, cut) = 1""")
+
+
+def linear_booster_round(features: list[str], eta: float, alpha: float, lam: float) -> str:
+    """Intercept, then the weights in order, from weights 0: every step moves the later gradients."""
+    n = len(features)
+    sds = ", ".join(f"stddev_samp(cast({f} as double)) as s{i}" for i, f in enumerate(features))
+    zs = ", ".join(f"case when s{i} = 0 then 0.0 else cast({f} as double) / s{i} end as z{i}" for i, f in enumerate(features))
+    firsts = [f"sum((0.5 - y) * z{i}) as g{i}, sum(0.25 * z{i}) as h{i}" for i in range(n)]
+    seconds = [f"sum(0.25 * z{i} * z{j}) as h{i}_{j}" for i in range(n) for j in range(i, n)]
+    ctes = [f"m as (select {sds} from t)", f"z as (select Response as y, {zs} from t, m)",
+            f"k0 as (select count(*) as n, sum(0.5 - y) as g, sum(0.25)::double as h, {', '.join(firsts + seconds)} from z)",
+            f"k as (select *, -{eta!r}::double * g / h as b from k0)"]
+    prev = "k"
+    for i in range(n):
+        g = " + ".join([f"g{i}", f"b * h{i}", *[f"d{j} * h{j}_{i}" for j in range(i)]])
+        hess = f"(h{i}_{i} + {lam!r}::double * n)"
+        step = (f"case when -({g}) / {hess} >= 0 then greatest(-({g} + {alpha!r}::double * n) / {hess}, 0.0) "
+                f"else least(-({g} - {alpha!r}::double * n) / {hess}, 0.0) end")
+        ctes.append(f"k{i + 1}_ as (select *, {eta!r}::double * ({step}) as d{i} from {prev})")
+        prev = f"k{i + 1}_"
+    rows = " union all ".join([f"select 'intercept' as term, round(b, 9) as weight from {prev}",
+                               *[f"select '{f}' as term, round(d{i}, 9) as weight from {prev}" for i, f in enumerate(features)]])
+    return with_prepared("with " + ",\n".join(ctes) + f"\n{rows}")
+
+
+def factor_stage(cols: list[str]) -> str:
+    """Codes by alphabetical order of the levels of the train split."""
+    split = _split_case("id")
+    joins = " ".join(f"join (select v, cast(row_number() over (order by v) as int) as code from (select distinct {c} as v "
+                     f"from t where {split} = 'train')) f{i} on t.{c} = f{i}.v" for i, c in enumerate(cols))
+    return f"select t.id, {', '.join(f'f{i}.code as x_{c}' for i, c in enumerate(cols))} from t {joins}"
+
+
+FIXED_FEATURES = ["Age", "Previously_Insured", "Claims_Amount", "Vintage"]
+#: (tree, node, feature, threshold, left, right, value, gain)
+FIXED_NODES = [
+    (0, 0, 1, 0.5, 1, 4, 0.0, 1.0), (0, 1, 0, 40.5, 2, 3, 0.0, 1.0), (0, 2, -1, None, -1, -1, 0.35, 0.0),
+    (0, 3, -1, None, -1, -1, 0.2, 0.0), (0, 4, -1, None, -1, -1, -0.8, 0.0),
+    (1, 0, 2, 150.0, 1, 2, 0.0, 1.0), (1, 1, -1, None, -1, -1, -0.25, 0.0), (1, 2, -1, None, -1, -1, 0.45, 0.0),
+    (2, 0, 3, 1000.0, 1, 4, 0.0, 1.0), (2, 1, 0, 30.0, 2, 3, 0.0, 1.0), (2, 2, -1, None, -1, -1, 0.1, 0.0),
+    (2, 3, -1, None, -1, -1, -0.05, 0.0), (2, 4, -1, None, -1, -1, 0.15, 0.0),
+]
+FIXED_INTERCEPT, FIXED_WEIGHTS = -1.25, [0.03125, -2.0, 0.00390625, -0.00048828125]
+
+
+def _walk(tree: int, node: int, leaf) -> str:
+    _, _, f, th, left, right, value, _ = next(r for r in FIXED_NODES if r[:2] == (tree, node))
+    if f < 0:
+        return leaf(node, value)
+    return (f"case when {FIXED_FEATURES[f]} <= {th!r} then {_walk(tree, left, leaf)} "
+            f"else {_walk(tree, right, leaf)} end")
+
+
+_TREES = sorted({r[0] for r in FIXED_NODES})
+_MARGIN = " + ".join(f"({_walk(t, 0, lambda _, v: f'{v!r}::double')})" for t in _TREES)
+ENSEMBLE_SCORES = f"""
+select id, cast(margin > 0 as int) as prediction, round(1 / (1 + exp(-margin)), 9) as probability
+from (select id, {_MARGIN} as margin from t)
+"""
+LINEAR_SCORES = f"""
+select id, Response, cast({FIXED_INTERCEPT!r} + {' + '.join(f'{w!r}::double * {f}' for w, f in zip(FIXED_WEIGHTS, FIXED_FEATURES))} > 0
+                          as int) as prediction from t
+"""
+_NODE_VALUES = ", ".join(f"({t}, {i}, {f}, {'null' if th is None else repr(th)}::double, {v!r}::double)"
+                         for t, i, f, th, _, _, v, _ in FIXED_NODES)
+ENSEMBLE_NODES = with_prepared(f"""with l as ({' union all '.join(
+    f"select {t} as tree, {_walk(t, 0, lambda i, _: str(i))} as node from t" for t in _TREES)}),
+c as (select tree, node, count(*) as n from l group by all)
+select v.tree, v.node, v.feature, v.threshold, v.value, coalesce(c.n, 0) as n
+from (values {_NODE_VALUES}) v(tree, node, feature, threshold, value)
+left join c on v.tree = c.tree and v.node = c.node
+""")
+
+
+def split_first() -> str:
+    train = _split_case("id")
+    return (f"with t0 as ({PREPARED}), t as (select * from t0 where {train} = 'train'),{rebalanced_cte()}"
+            "select id, copy, 'train' as split, Response from rb union all "
+            f"select id, cast(1 as bigint), 'test', Response from t0 where {train} = 'test'")
+
+
+def describe_all(cols: list[str], numeric: list[str]) -> str:
+    rows = []
+    for c in cols:
+        x = f"cast({c} as double)" if c in numeric else "cast(null as double)"
+        rows.append(f"select 'count' as summary, '{c}' as \"column\", cast(count({c}) as double) as number, "
+                    "cast(null as varchar) as text from t")
+        rows += [f"select '{name}', '{c}', round({fn}({x}), 6), null from t" for name, fn in
+                 (("mean", "avg"), ("stddev", "stddev_samp"))]
+        for name in ("min", "max"):
+            rows.append(f"select '{name}', '{c}', {f'round({name}({x}), 6), null' if c in numeric else f'null, {name}({c})'} from t")
+    return " union all ".join(rows)
+
+
+SAVED_VIEW = """select Region_Code as region_code, count(*) as claimants, max(Claims_Amount) as largest
+from t where Claims_Num > 0 group by Region_Code"""

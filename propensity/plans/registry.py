@@ -109,20 +109,21 @@ def _scratch_table(spark, label: str) -> tuple[str, str]:
     return name, scratch_path(spark, f"table-{name}")
 
 
-def _release(spark, name: str, path: str) -> DataFrame:
+def _release(spark, name: str) -> DataFrame:
     """The saved table as scanned by name; its catalog entry goes, the files
     stay under the checkpoint folder for the returned frame."""
-    schema = tables.read_table(spark, name).schema
+    schema, files = tables.read_table(spark, name).schema, tables.location(spark, name)
     tables.drop_table(spark, name)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(files)
 
 
 @register("table_roundtrip", O.PREPARED)
 def q_table_roundtrip(spark, sf_dir):
-    """The prepared table saved as a catalog table, then scanned by name."""
+    """A catalog table overwritten with the prepared table, then scanned by name."""
     name, path = _scratch_table(spark, "prepared")
+    tables.save_table(prospects(spark, sf_dir), name, path=path)
     tables.save_table(prepared(spark, sf_dir), name, path=path)
-    return _release(spark, name, path)
+    return _release(spark, name)
 
 
 @register("preview", O.with_prepared("select * from t order by id limit 100"))
@@ -279,6 +280,14 @@ def _balanced_split(spark, sf_dir):
     return sampling.split(rebalanced(spark, sf_dir), key=["id", "copy"])
 
 
+def _fitting_data(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The prepared table and its balanced split, each written once: a fit, an
+    evaluation and a scoring run all read them again."""
+    base = sampling.materialize(prepared(spark, sf_dir), "prepared")
+    data = sampling.split(sampling.rebalance(base), key=["id", "copy"])
+    return base, sampling.materialize(data, "balanced-split")
+
+
 @register("minmax_scaled", O.minmax_scaled(S.BASELINE_FEATURES))
 def q_minmax_scaled(spark, sf_dir):
     from ..operators.models import minmax_sql
@@ -304,15 +313,15 @@ def q_baseline_scores(spark, sf_dir):
     row of the prepared (unbalanced) table scored."""
     from ..operators.score import score
     from .workflow import fit_baseline
-    model = fit_baseline(_balanced_split(spark, sf_dir))
-    return score(prepared(spark, sf_dir), model).select("id", "Response", "prediction")
+    base, data = _fitting_data(spark, sf_dir)
+    return score(base, fit_baseline(data)).select("id", "Response", "prediction")
 
 
 @register("baseline_f1", None)
 def q_baseline_f1(spark, sf_dir):
     """M9: F1 of class 1 on train and test of the baseline, one pass."""
     from .workflow import f1_by_split, fit_baseline
-    data = _balanced_split(spark, sf_dir)
+    _, data = _fitting_data(spark, sf_dir)
     return f1_by_split(fit_baseline(data), data)
 
 
@@ -326,20 +335,18 @@ RULES = {
 
 
 def _rule_scores(spark, sf_dir) -> DataFrame:
-    data = sampling.materialize(_balanced_split(spark, sf_dir), "split")
-    frames = [data.select("id", "copy", "split", "Response", F.lit(k).alias("algorithm"),
-                          F.expr(v).alias("prediction")) for k, v in RULES.items()]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    """One scan: every row once per rule, with that rule's prediction."""
+    rules = F.array(*[F.struct(F.lit(k).alias("algorithm"), F.expr(v).alias("prediction")) for k, v in RULES.items()])
+    return (_balanced_split(spark, sf_dir)
+            .select("id", "copy", "split", "Response", F.explode(rules).alias("r"))
+            .select("id", "copy", "split", "Response", "r.algorithm", "r.prediction"))
 
 
 @register("rule_f1", O.rule_f1())
 def q_rule_f1(spark, sf_dir):
     """M9: F1 of class 1 and (R form) class 0 per rule and split."""
     from ..operators.evaluate import f1
-    scored = _rule_scores(spark, sf_dir)
+    scored = sampling.materialize(_rule_scores(spark, sf_dir), "rule-scores")
     by = ["algorithm", "split"]
     return (f1(scored, by=by).withColumn("positive", F.lit(1))
             .unionByName(f1(scored, by=by, positive=0).withColumn("positive", F.lit(0))))
@@ -376,31 +383,39 @@ def q_rule_best_run(spark, sf_dir):
     return _run_columns(runs.best_run(_rule_runs(spark, sf_dir), "rules"))
 
 
+def _stage_params(pipe) -> dict:
+    """What a pipeline's learner was set to."""
+    import dataclasses
+    stage = pipe.getStages()[-1]
+    if hasattr(stage, "settings"):
+        return dataclasses.asdict(stage.settings)
+    return {p.name: v for p, v in stage.extractParamMap().items()
+            if p.name in ("regParam", "elasticNetParam", "maxIter", "maxDepth", "numTrees")}
+
+
 def _logged_models(spark, sf_dir, positive=1):
-    """The R training path: factor codes, exact stratified split of the
-    balanced table, three models fitted on train; every run logs its F1 (of
-    class ``positive``) and the path of its saved pipeline."""
+    """The R training path: exact stratified split of the balanced table, factor codes
+    and scales fitted on train, three models; every run logs its F1 (of class
+    ``positive``) and the path of its saved pipeline."""
     from ..operators import models, runs, score
     from .workflow import f1_by_split, metrics_dict, training_frame
-    balanced = rebalanced(spark, sf_dir)
+    base = sampling.materialize(prepared(spark, sf_dir), "prepared")
     data = sampling.materialize(
-        sampling.stratified_split(balanced, key=["id", "copy"]), "model-data")
+        sampling.stratified_split(sampling.rebalance(base), key=["id", "copy"]), "model-data")
     train = training_frame(data)
     path = scratch_path(spark, f"runs-{uuid.uuid4().hex}")
     try:
         for algo, pipe in (("elastic_net", models.elastic_net_pipeline()),
-                           ("boosted_trees", models.boosted_pipeline()),
+                           ("boosted_trees", models.boosted_pipeline(coding="factor")),
                            ("linear", models.linear_pipeline())):
             model = pipe.fit(train)
             saved = scratch_path(spark, f"model-{algo}-{uuid.uuid4().hex}")
             score.save_model(model, saved)
-            runs.log_run(spark, path, "propensity", algo,
-                         {p.name: v for p, v in pipe.getStages()[-1].extractParamMap().items()
-                          if p.name in ("regParam", "elasticNetParam", "maxIter", "maxDepth", "stepSize")},
+            runs.log_run(spark, path, "propensity", algo, _stage_params(pipe),
                          metrics_dict(f1_by_split(model, data, positive=positive)), model_path=saved)
     finally:
         train.unpersist()
-    return data, runs.read_runs(spark, path)
+    return base, data, runs.read_runs(spark, path)
 
 
 @register("model_runs", None)
@@ -409,7 +424,7 @@ def q_model_runs(spark, sf_dir):
     model, each logged with F1 train/test of class 0 (R form); the runs with
     f1_test > 0.25, best first."""
     from ..operators import runs
-    _, logged = _logged_models(spark, sf_dir, positive=0)
+    *_, logged = _logged_models(spark, sf_dir, positive=0)
     return runs.search_runs(logged, "propensity").select(
         "algorithm", F.col("metrics")["f1_train"].alias("f1_train"),
         F.col("metrics")["f1_test"].alias("f1_test"))
@@ -421,7 +436,7 @@ def q_best_run_scores(spark, sf_dir):
     run over the threshold looked up, its pipeline loaded, and the recombined
     balanced table and the whole unbalanced table scored with it."""
     from ..operators import runs, score
-    data, logged = _logged_models(spark, sf_dir)
+    base, data, logged = _logged_models(spark, sf_dir)
     best = runs.best_run(logged, "propensity").first()
     if best is None:
         raise ValueError("no run reached the acceptance threshold")
@@ -430,7 +445,7 @@ def q_best_run_scores(spark, sf_dir):
                                     data.where(F.col("split") == "test"))
     balanced = score.score(recombined, model).select(
         F.lit("balanced").alias("relation"), "id", "copy", "Response", "prediction")
-    whole = score.score(prepared(spark, sf_dir), model).select(
+    whole = score.score(base, model).select(
         F.lit("whole").alias("relation"), "id", F.lit(1).cast("bigint").alias("copy"),
         "Response", "prediction")
     return balanced.unionByName(whole)
@@ -443,7 +458,7 @@ def q_scored_table(spark, sf_dir):
     from ..operators import models
     from ..operators.score import score_to_table
     from .workflow import training_frame
-    data = _balanced_split(spark, sf_dir)
+    _, data = _fitting_data(spark, sf_dir)
     train = training_frame(data)
     try:
         model = models.boosted_pipeline().fit(train)
@@ -453,7 +468,173 @@ def q_scored_table(spark, sf_dir):
                                    data.where(F.col("split") == "test"))
     name, path = _scratch_table(spark, "scored")
     score_to_table(inference, model, name, path=path)
-    return _release(spark, name, path)
+    return _release(spark, name)
+
+
+@register("search_runs", None)
+def q_search_runs(spark, sf_dir):
+    """M8: ten draws of depth and leaf penalties over the whole space, the round count
+    tuned on a validation slice of train, every run logged; the runs with
+    f1_test > 0.25, best first."""
+    from ..operators import runs, search
+    _, data = _fitting_data(spark, sf_dir)
+    path = scratch_path(spark, f"runs-{uuid.uuid4().hex}")
+    for i, run in enumerate(search.search(data.where("split = 'train'"), data.where("split = 'test'"))):
+        runs.log_run(spark, path, "search", "boosted_trees", run["params"], run["metrics"], run_id=f"rank-{i:03d}")
+    found = runs.search_runs(runs.read_runs(spark, path), "search")
+    return found.select("run_id", *[F.col("params")[c].cast(t).alias(c) for c, t in (
+        ("max_depth", "int"), ("n_estimators", "int"), ("reg_alpha", "double"), ("reg_lambda", "double"))],
+        *[F.col("metrics")[m].alias(m) for m in ("f1_train", "f1_validation", "f1_test")])
+
+
+# --- the learners' steps and fixed models, oracle-checked --------------------------
+
+@register("boosted_stump", O.boosted_stump(S.BASELINE_FEATURES, O.STUMP_PENALTIES, 32))
+def q_boosted_stump(spark, sf_dir):
+    """M6: one round of depth 1 under several leaf penalties, as its node table."""
+    from ..operators import boosting
+    data = sampling.materialize(prepared(spark, sf_dir), "prepared")
+    cuts = boosting.cut_points(data, S.BASELINE_FEATURES, 32)
+    rows = []
+    for alpha, lam in O.STUMP_PENALTIES:
+        trees, _ = boosting.fit_trees(data, S.BASELINE_FEATURES, S.LABEL, boosting.Settings(
+            n_estimators=1, max_depth=1, learning_rate=0.1, reg_alpha=alpha, reg_lambda=lam, bins=32), cuts)
+        root, *leaves = boosting.node_rows(trees, cuts)
+        if leaves:                                      # the penalties may allow no split
+            rows.append((alpha, lam, S.BASELINE_FEATURES[root[2]], root[3], round(root[7], 6),
+                         *[round(leaf[6], 9) for leaf in leaves]))
+    return spark.createDataFrame(rows, "reg_alpha double, reg_lambda double, feature string, threshold double, "
+                                       "gain double, left_value double, right_value double")
+
+
+@register("linear_booster_round", O.linear_booster_round(S.BASELINE_FEATURES, 0.1, 0.1, 0.1))
+def q_linear_booster_round(spark, sf_dir):
+    """M7: one round of the linear booster on sd-scaled features, as its coefficient table."""
+    from ..operators import boosting
+    from ..operators.models import sd_scale_sql
+    data = prepared(spark, sf_dir)
+    data = sampling.materialize(data, "prepared")
+    scaled = sd_scale_sql(data, data, S.BASELINE_FEATURES)
+    intercept, weights = boosting.fit_linear(scaled, S.BASELINE_FEATURES, S.LABEL,
+                                             boosting.LinearSettings(1, 0.1, 0.1, 0.1))
+    rows = list(zip(["intercept", *S.BASELINE_FEATURES], [round(float(w), 9) for w in (intercept, *weights)]))
+    return spark.createDataFrame(rows, "term string, weight double")
+
+
+@register("factor_stage_codes", O.with_prepared(O.factor_stage(list(S.ENCODERS))))
+def q_factor_stage_codes(spark, sf_dir):
+    """X13 as a fitted stage: levels learned on the train split, saved, loaded, and
+    applied to the whole table."""
+    from pyspark.ml import Pipeline
+    from ..operators import models, score
+    data = sampling.materialize(sampling.split(prepared(spark, sf_dir)), "factor-data")
+    saved = scratch_path(spark, f"factors-{uuid.uuid4().hex}")
+    score.save_model(Pipeline(stages=models.factor_stages()).fit(data.where("split = 'train'")), saved)
+    return score.load_model(saved).transform(data).select("id", *[f"x_{c}" for c in S.ENCODERS])
+
+
+def _reloaded(spark, *stages):
+    """A fixed model as a pipeline that was saved and loaded."""
+    from pyspark.ml import PipelineModel
+    from ..operators import score
+    saved = scratch_path(spark, f"fixed-{uuid.uuid4().hex}")
+    score.save_model(PipelineModel(stages=list(stages)), saved)
+    return score.load_model(saved)
+
+
+@register("ensemble_scores", O.with_prepared(O.ENSEMBLE_SCORES))
+def q_ensemble_scores(spark, sf_dir):
+    """A fixed tree ensemble scores every row of the whole table."""
+    from ..operators import boosting, models, score
+    model = _reloaded(spark, models.assemble(O.FIXED_FEATURES), boosting.tree_model(
+        spark, O.FIXED_NODES, len(O.FIXED_FEATURES)))
+    scored = score.score(prepared(spark, sf_dir), model, probability="probability")
+    return rounded(scored.select("id", "prediction", "probability"), 9, "probability")
+
+
+@register("linear_scores", O.with_prepared(O.LINEAR_SCORES))
+def q_linear_scores(spark, sf_dir):
+    """A fixed linear model scores the whole table into a saved table."""
+    from ..operators import boosting, models, score
+    model = _reloaded(spark, models.assemble(O.FIXED_FEATURES), boosting.linear_model(
+        spark, O.FIXED_INTERCEPT, O.FIXED_WEIGHTS))
+    name, path = _scratch_table(spark, "linear_scored")
+    score.score_to_table(prepared(spark, sf_dir), model, name, path=path)
+    return _release(spark, name).select("id", "Response", "prediction")
+
+
+@register("ensemble_nodes", O.ENSEMBLE_NODES)
+def q_ensemble_nodes(spark, sf_dir):
+    """A saved ensemble read back as its node table, with how many rows of the
+    whole table reach each leaf (the trees walked relationally, level by level)."""
+    from ..operators import boosting, score
+    saved = scratch_path(spark, f"nodes-{uuid.uuid4().hex}")
+    score.save_model(boosting.tree_model(spark, O.FIXED_NODES, len(O.FIXED_FEATURES)), saved)
+    nodes = boosting.nodes_of(spark, saved)
+    leaves = boosting.leaf_of(prepared(spark, sf_dir), nodes, O.FIXED_FEATURES)
+    reached = leaves.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("n"))
+    return (nodes.drop("gain").join(reached, ["tree", "node"], "left")
+            .withColumn("n", F.coalesce("n", F.lit(0))).drop("left", "right"))
+
+
+@register("split_first", O.split_first())
+def q_split_first(spark, sf_dir):
+    """The leak-free order: customers split first, only train bootstrapped."""
+    from .workflow import balanced_split
+    return balanced_split(prepared(spark, sf_dir, columns=[]), order="split_first").select(
+        "id", "copy", "split", "Response")
+
+
+@register("describe_all", O.with_prepared(O.describe_all(S.BASE_COLUMNS, NUMERIC_COLS)))
+def q_describe_all(spark, sf_dir):
+    """A3, R form: count, mean, stddev, min, max of every column, text included."""
+    wide = profile.describe_all(prepared(spark, sf_dir))
+    long = wide.unpivot(["summary"], list(S.BASE_COLUMNS), "column", "value")
+    number = F.col("column").isin(NUMERIC_COLS) | F.col("summary").isin("count", "mean", "stddev")
+    return long.select("summary", "column",
+                       F.when(number, F.round(F.col("value").try_cast("double"), 6)).alias("number"),
+                       F.when(~number, F.col("value")).alias("text"))
+
+
+@register("saved_view", O.with_prepared(O.SAVED_VIEW))
+def q_saved_view(spark, sf_dir):
+    """A database made, a table saved in it, a view over it published, and the
+    view read from a second session of the same catalog."""
+    db = f"propensity_{uuid.uuid4().hex[:12]}"
+    tables.reset_database(spark, db)
+    try:
+        path = scratch_path(spark, f"table-{db}")
+        tables.save_table(prepared(spark, sf_dir, columns=["Region_Code"]), f"{db}.prospects", path=path)
+        tables.create_saved_view(spark, f"{db}.active_regions",
+                                 "SELECT Region_Code AS region_code, count(*) AS claimants, max(Claims_Amount) AS "
+                                 f"largest FROM {db}.prospects WHERE Claims_Num > 0 GROUP BY Region_Code")
+        seen = tables.read_table(spark.newSession(), f"{db}.active_regions")
+        return sampling.materialize(seen, "view-rows")
+    finally:
+        tables.drop_database(spark, db)
+
+
+@register("catalog_listing", None)
+def q_catalog_listing(spark, sf_dir):
+    """Databases and tables before and after a reset, as listed."""
+    db = f"propensity_{uuid.uuid4().hex[:12]}"
+    rows = []
+
+    def listed(step):
+        there = [r[0] for r in tables.list_databases(spark).collect()]
+        names = sorted(r["tableName"] for r in tables.list_tables(spark, db).collect()) if db in there else []
+        rows.append((step, db in there, ",".join(names)))
+
+    listed("before")
+    tables.reset_database(spark, db)
+    tables.save_table(prospects(spark, sf_dir), f"{db}.prospects", path=scratch_path(spark, f"table-{db}"))
+    tables.create_saved_view(spark, f"{db}.insured", f"SELECT id FROM {db}.prospects WHERE Previously_Insured = 1")
+    listed("saved")
+    tables.reset_database(spark, db)
+    listed("reset")
+    tables.drop_database(spark, db)
+    listed("dropped")
+    return spark.createDataFrame(rows, "step string, database_there boolean, tables string")
 
 
 # --- chart frames of the balanced sample ---------------------------------------

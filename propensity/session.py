@@ -53,12 +53,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     single = sc.master == "local" or sc.master.startswith("local[")
+    one_host = single or sc.master.startswith("local-cluster")
     if configured:
-        if not single and "://" not in configured and not configured.startswith("file:"):
-            default = sc._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
-            if default.startswith("file:"):
-                raise RuntimeError(f"spark.checkpoint.dir={configured} names no file system and the "
-                                   "default one is local; give the shared folder's full URI")
+        if not one_host and not _shared(configured, sc._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")):
+            raise RuntimeError(f"spark.checkpoint.dir={configured} lies in a local file system; give the "
+                               "URI of a folder that all executors share")
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
     if not single:
@@ -69,6 +68,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _shared(path: str, default_fs: str) -> bool:
+    """Whether a path's file system is not the local one of each machine."""
+    scheme = path.split(":", 1)[0] if ":" in path.split("/", 1)[0] else default_fs.split(":", 1)[0]
+    return scheme != "file"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for written intermediate tables, inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -76,12 +81,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def spread(df, *cols):
-    """Hash-spread an input that lies in a single file, so that its per-row
-    work is not serialised in one task.  Tables of several files -- any table
-    of size -- are returned as they are.  Only file metadata is looked at."""
-    if len(df.inputFiles()) != 1:
-        return df
+    """Hash-spread an input that the reader makes fewer tasks of than there are cores
+    (a small single file is one split), so that its per-row work is not serialised.
+    Larger inputs, a single large file included, are returned as they are."""
     par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 > par:
+        return df
     return df.repartition(par, *cols) if cols else df.repartition(par)
 
 

@@ -69,3 +69,40 @@ def test_saved_table_partitions(spark):
     tables.save_table(spark.range(100), "parts_tmp", partitions=3, path=path)
     assert len(spark.table("parts_tmp").inputFiles()) == 3
     tables.drop_table(spark, "parts_tmp")
+
+
+def test_failed_overwrite_leaves_the_old_table(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    broken = spark.range(50).select(F.when(F.col("id") < 40, F.col("id")).otherwise(
+        F.raise_error(F.lit("broken row")).cast("long")).alias("id"))
+    tables.reset_database(spark, "safe_test")
+    for name, path in (("safe_test.ext", tempfile.mkdtemp(prefix="tbl-") + "/e"), ("safe_test.man", None)):
+        tables.save_table(spark.range(5), name, path=path)
+        with pytest.raises(Exception, match="broken row"):
+            tables.save_table(broken, name, path=path)
+        assert spark.table(name).count() == 5
+        tables.save_table(spark.table(name).where("id > 1"), name, path=path)       # reads what it replaces
+        assert sorted(r.id for r in spark.table(name).collect()) == [2, 3, 4]
+        tables.save_table(spark.createDataFrame([("a", 1)], "k string, v int"), name, path=path)
+        assert [tuple(r) for r in spark.table(name).collect()] == [("a", 1)]
+        tables.save_table(spark.createDataFrame([("b", 2)], "k string, v int"), name, path=path, mode="append")
+        assert spark.table(name).count() == 2
+    assert sorted(r.tableName for r in tables.list_tables(spark, "safe_test").collect()) == ["ext", "man"]
+    tables.reset_database(spark, "safe_test")
+
+
+def test_old_versions_go_with_the_next_overwrite(spark):
+    import os
+    path = tempfile.mkdtemp(prefix="tbl-") + "/v"
+    for n in (1, 2, 3, 4):
+        tables.save_table(spark.range(n), "versions_tmp", path=path)
+    assert spark.table("versions_tmp").count() == 4
+    assert len([d for d in os.listdir(path) if d.startswith("version-")]) == 2
+    tables.drop_table(spark, "versions_tmp")
+
+
+def test_checkpoint_folder_must_be_shared():
+    from propensity.session import _shared
+    assert not _shared("file:/tmp/x", "hdfs://h/") and not _shared("/tmp/x", "file:///") and not _shared("file:///x", "s3a://b")
+    assert _shared("/data/x", "hdfs://h/") and _shared("s3a://b/x", "file:///")
