@@ -47,7 +47,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def dense_index(df: DataFrame, by: list[str], order: list, name: str = "idx",
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, repeats: str | None = None) -> DataFrame:
     """Contiguous 0-based index of each row within its ``by`` group in
     ``order`` (like row_number() - 1, without one task per group).
 
@@ -55,13 +55,18 @@ def dense_index(df: DataFrame, by: list[str], order: list, name: str = "idx",
     sort within partitions, tag rows with (partition id, position), write the
     result once (range boundaries come from sampling and must not be
     recomputed), then join the per-(group, partition) offsets, a prefix sum
-    over the count table with one row per pair."""
+    over the count table with one row per pair.  ``repeats`` names a boolean column
+    for rows whose (by, order) values an earlier row has: equal values lie in one
+    range partition, so it costs no shuffle or sort."""
     ocols = {f"_o{i}": (F.col(c) if isinstance(c, str) else c) for i, c in enumerate(order)}
     okeys = list(ocols)
     tagged = (df.withColumns(ocols)
               .repartitionByRange(partitions or _partitions(df), *by, *okeys)
-              .sortWithinPartitions(*by, *okeys)
-              .withColumn("_g", group_key(by))
+              .sortWithinPartitions(*by, *okeys))
+    if repeats:
+        same = Window.partitionBy(*by, *okeys).orderBy(*okeys)
+        tagged = tagged.withColumn(repeats, F.row_number().over(same) > 1)
+    tagged = (tagged.withColumn("_g", group_key(by))
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id())
               .drop(*okeys))
@@ -71,7 +76,7 @@ def dense_index(df: DataFrame, by: list[str], order: list, name: str = "idx",
     offsets = stats.select("_g", "_pid", (F.coalesce(F.sum("_n").over(before), F.lit(0))
                                           - F.col("_first")).alias("_off"))
     return (t.join(offsets, ["_g", "_pid"])
-            .select(*df.columns, (F.col("_mid") + F.col("_off")).alias(name)))
+            .select(*df.columns, *([repeats] if repeats else []), (F.col("_mid") + F.col("_off")).alias(name)))
 
 
 def smallest_by_hash(df: DataFrame, by: list[str], key: list[str], salt: str, want) -> DataFrame:
@@ -111,24 +116,25 @@ def smallest_by_hash(df: DataFrame, by: list[str], key: list[str], salt: str, wa
             .drop("_g", "_all", "_cut"))
 
 
-def expand_copies(light: DataFrame, heavy: DataFrame, count: str, out: str = "copy",
-                  keys: list[str] | None = None, chunk: int = COPY_CHUNK) -> DataFrame:
-    """Each row of ``light`` and ``heavy`` as ``count`` copies numbered 1..count.
-    ``light`` keeps rows of at most ``chunk`` copies; ``heavy`` rows beyond
-    that are cut into chunks that are hash-spread over tasks first, so one
-    heavily drawn row never expands inside a single task.  (An empty heavy
-    side costs nothing: adaptive execution drops its scan.)"""
+def expand_copies(rows: DataFrame, count: str, out: str = "copy", keys: list[str] | None = None,
+                  chunk: int = COPY_CHUNK, heavy: bool = True) -> DataFrame:
+    """Each row as ``count`` copies numbered 1..count.  With ``heavy``, rows of more than
+    ``chunk`` copies are cut into chunks that are hash-spread over tasks first, so
+    one heavily drawn row never expands inside a single task; a caller that knows
+    that there are none leaves that second reading of the input out."""
     # Rows are selected through the generator (an empty array drops a row),
     # not by a Filter: a filter on ``count`` would be pushed below the
     # projection that computes it and re-evaluate that expression.
     c = F.col(count).cast("bigint")
     none = F.array().cast("array<bigint>")
     one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    few = light.withColumn(out, F.explode(
-        F.when((c >= 1) & (c <= chunk), F.sequence(one, c)).otherwise(none)))
-    many = (heavy.withColumn("_cb", F.explode(
+    fits = (c >= 1) & (c <= chunk) if heavy else c >= 1
+    few = rows.withColumn(out, F.explode(F.when(fits, F.sequence(one, c)).otherwise(none)))
+    if not heavy:
+        return few
+    many = (rows.withColumn("_cb", F.explode(
                 F.when(c > chunk, F.sequence(zero, F.ceil(c / F.lit(chunk)) - 1)).otherwise(none)))
-            .repartition(_partitions(heavy), *(keys or []), "_cb")
+            .repartition(_partitions(rows), *(keys or []), "_cb")
             .withColumn(out, F.explode(F.sequence(F.col("_cb") * chunk + 1,
                                                   F.least(c, (F.col("_cb") + 1) * chunk))))
             .drop("_cb"))
@@ -175,8 +181,8 @@ def rebalance(df: DataFrame, label: str = S.LABEL, key=S.KEY, n: int | None = No
         return kept.unionByName(others)
     base = df.where(F.col(label).isNotNull())
     # Index only the narrow (class, key) pairs; full rows move once, in the final join.
-    kidx = dense_index(base.select(label, *key), [label], key, name="_k")
-    if not kidx.groupBy(label, *key).agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty():
+    kidx = dense_index(base.select(label, *key), [label], key, name="_k", repeats="_again")
+    if not kidx.where("_again").isEmpty():
         raise ValueError(f"rebalance: {key} does not identify a row; name all its key columns")
     sizes = class_sizes(kidx, label)
     target = _target(sizes, label, n, majority)
@@ -193,14 +199,17 @@ def rebalance(df: DataFrame, label: str = S.LABEL, key=S.KEY, n: int | None = No
              .groupBy(label, "_k").agg(F.count(F.lit(1)).alias("_c")))
     picked = materialize(kidx.join(draws, [label, "_k"]).select(label, *key, "_c"), "picked")
     on = [label, *key]
-    out = expand_copies(base.join(picked.where(F.col("_c") <= COPY_CHUNK), on),
-                        base.join(picked.where(F.col("_c") > COPY_CHUNK), on),
-                        "_c", "copy", keys=on)
+    out = expand_copies(base.join(picked, on), "_c", "copy", keys=on,
+                        heavy=not picked.where(F.col("_c") > COPY_CHUNK).isEmpty())
     return out.select(*[c for c in df.columns if c != "copy"], "copy")
 
 
-def poisson_table(classes: DataFrame, label: str) -> DataFrame:
-    """``classes(label, _lam)`` -> (label, _cdf): the CDF values cdf_0..cdf_K of
+# Cells by which a draw finds its steps in a class' Poisson table.
+DRAW_CELLS = 1 << 10
+
+
+def poisson_steps(classes: DataFrame, label: str) -> DataFrame:
+    """``classes(label, _lam)`` -> (label, _j, _cdf): the CDF values cdf_0..cdf_K of
     Poisson(_lam), summed in log space (no factorial overflow or exp underflow).
     K = lam + 12 sqrt(lam) + 12 leaves a tail under 1e-13; a row can get as
     many copies as its class' table is long, so the table is no larger than
@@ -211,25 +220,25 @@ def poisson_table(classes: DataFrame, label: str) -> DataFrame:
         F.lit(0), F.ceil(lam + F.lit(12.0) * F.sqrt(lam) + F.lit(12.0)).cast("int"))))
     logs = F.sum(F.when(j == 0, F.lit(0.0)).otherwise(F.log(lam) - F.log(j.cast("double")))).over(upto)
     return (steps.withColumn("_p", F.exp(-lam + logs))
-            .withColumn("_cdf", F.sum("_p").over(upto))
-            .groupBy(label).agg(F.sort_array(F.collect_list(F.struct("_j", "_cdf"))).alias("_t"))
-            .select(label, F.col("_t._cdf").alias("_cdf")))
-
-
-def below(values: str, x: Column) -> Column:
-    """How many of the ascending array column ``values`` are under ``x``: a
-    binary search as a higher-order fold of log2(length) steps."""
-    t = F.col(values)
-    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(t) + F.lit(1.0))).cast("int"))
-    start = F.struct(F.lit(0).alias("lo"), F.size(t).alias("hi"))
-
-    def halve(s, _):
-        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-        open_ = s["lo"] < s["hi"]
-        right = F.coalesce(F.try_element_at(t, mid + 1) < x, F.lit(False))
-        return F.struct(F.when(open_ & right, mid + 1).otherwise(s["lo"]).alias("lo"),
-                        F.when(open_ & ~right, mid).otherwise(s["hi"]).alias("hi"))
-    return F.aggregate(steps, start, halve, lambda s: s["lo"])
+            .select(label, "_j", F.sum("_p").over(upto).alias("_cdf")))
+
+
+def poisson_cells(steps: DataFrame, label: str) -> DataFrame:
+    """(label, _cell, _under, _in): per class and cell of the draw, how many steps lie
+    under the cell, and the steps inside it.  A row of draw u has as many copies as
+    there are steps under u: those under its cell and those of the few in it."""
+    # A draw lies in [2^-53, 1 - 2^-53]: steps under that are counted only, those over it never met.
+    cdf, least = F.col("_cdf"), 2.0 ** -53
+    cell = F.when(cdf < least, -1).otherwise(F.floor(cdf * F.lit(float(DRAW_CELLS)))).cast("int")
+    held = (steps.where(cdf < 1.0 - least).withColumn("_cell", cell).groupBy(label, "_cell")
+            .agg(F.count(F.lit(1)).alias("_n"),
+                 F.sort_array(F.collect_list(F.when(F.col("_cell") >= 0, cdf))).alias("_in")))
+    every = (steps.select(label).distinct()
+             .withColumn("_cell", F.explode(F.sequence(F.lit(-1), F.lit(DRAW_CELLS - 1)))))
+    before = Window.partitionBy(label).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    return (every.join(held, [label, "_cell"], "left")
+            .select(label, "_cell", F.coalesce(F.sum(F.coalesce("_n", F.lit(0))).over(before), F.lit(0)).alias("_under"),
+                    F.coalesce("_in", F.array().cast("array<double>")).alias("_in")))
 
 
 def rebalance_poisson(df: DataFrame, label: str = S.LABEL, key=S.KEY,
@@ -238,8 +247,8 @@ def rebalance_poisson(df: DataFrame, label: str = S.LABEL, key=S.KEY,
     Poisson(n / m_class) number of copies from its own keyed draw: no index
     and no shuffle of rows; class sizes are n in expectation.
 
-    lam is constant within a class, so the inverse CDF is a binary search in
-    the class' CDF table, which is joined to the rows by class."""
+    lam is constant within a class, so the inverse CDF is a table per class; the rows
+    meet it by (class, cell of the draw) and compare the one or two steps there."""
     key = [key] if isinstance(key, str) else list(key)
     base = df.where(F.col(label).isNotNull())
     sizes = class_sizes(base, label)
@@ -247,11 +256,15 @@ def rebalance_poisson(df: DataFrame, label: str = S.LABEL, key=S.KEY,
     if target <= 0:
         return base.withColumn("copy", F.lit(1).cast("bigint")).limit(0)
     classes = sizes.select(label, (F.lit(float(target)) / F.col("_m").cast("double")).alias("_lam"))
-    tables = materialize(poisson_table(classes, label), "poisson")
+    cells = materialize(poisson_cells(poisson_steps(classes, label), label), "poisson-cells")
+    most = cells.agg(F.max(F.col("_under") + F.size("_in"))).first()[0] or 0
     draw = u(row_key(key), salt, DRAW_DIGITS)
-    counted = lambda t: base.join(t, label).withColumn("_c", below("_cdf", draw)).drop("_cdf")
-    out = expand_copies(counted(tables), counted(tables.where(F.size("_cdf") > COPY_CHUNK)),
-                        "_c", "copy", keys=key)
+    drawn = base.withColumn("_u", draw).withColumn(
+        "_cell", F.floor(F.col("_u") * F.lit(float(DRAW_CELLS))).cast("int"))
+    counted = (drawn.join(cells, [label, "_cell"])
+               .withColumn("_c", F.col("_under") + F.size(F.filter("_in", lambda v: v < F.col("_u"))))
+               .drop("_u", "_cell", "_under", "_in"))
+    out = expand_copies(counted, "_c", "copy", keys=key, heavy=most > COPY_CHUNK)
     return out.select(*[c for c in df.columns if c != "copy"], "copy")
 
 

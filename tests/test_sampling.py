@@ -44,7 +44,7 @@ def test_rebalance_one_class_and_n_larger(spark):
 
 def test_expand_copies_heavy_path(spark):
     df = spark.createDataFrame([(1, 10000), (2, 3), (3, 0)], "id long, c long")
-    out = sampling.expand_copies(df, df, "c", keys=["id"], chunk=1000)
+    out = sampling.expand_copies(df, "c", keys=["id"], chunk=1000)
     r = out.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max("copy").alias("mx"),
                                F.countDistinct("copy").alias("d")).orderBy("id").collect()
     assert [(x.n, x.mx, x.d) for x in r] == [(10000, 10000, 10000), (3, 3, 3)]
@@ -75,10 +75,13 @@ def test_poisson_rebalance_sizes_near_target(prepared01):
 def test_poisson_table_and_search_match_inverse_cdf(spark):
     import math
     lams = (0.5, 3.0, 40.0, 900.0)
-    rows = [(lam, uu) for lam in lams for uu in (0.01, 0.3, 0.5, 0.9, 0.999)]
-    table = sampling.poisson_table(spark.createDataFrame([(x, x) for x in lams], "k double, _lam double"), "k")
-    df = spark.createDataFrame(rows, "k double, u double").join(table, "k")
-    got = {(r.k, r.u): r.c for r in df.select("k", "u", sampling.below("_cdf", F.col("u")).alias("c")).collect()}
+    rows = [(lam, uu) for lam in lams for uu in (2.0 ** -53, 0.01, 0.3, 0.5, 0.9, 0.999)]
+    steps = sampling.poisson_steps(spark.createDataFrame([(x, x) for x in lams], "k double, _lam double"), "k")
+    cells = sampling.poisson_cells(steps, "k")
+    df = spark.createDataFrame(rows, "k double, u double").withColumn(
+        "_cell", F.floor(F.col("u") * sampling.DRAW_CELLS).cast("int")).join(cells, ["k", "_cell"])
+    got = {(r.k, r.u): r.c for r in df.select("k", "u", (F.col("_under") + F.size(F.filter(
+        "_in", lambda v: v < F.col("u")))).alias("c")).collect()}
 
     def inv(lam, uu):
         k, lp, cdf = 0, -lam, math.exp(-lam)
