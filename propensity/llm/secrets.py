@@ -44,6 +44,10 @@ MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}")   # with a dig
 _PART = re.compile(r"[A-Za-z0-9]+")
 # A number, a word, an acronym or joined words, each with a short number behind.
 _WORD = re.compile(r"[A-Za-z]?[0-9]+|(?:[A-Z]?[a-z]+|[A-Z]+)(?:[A-Z][a-z]+)*[A-Z]*[0-9]{0,4}")
+# The humps of a joined name, and its numbers.
+_HUMP = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+_VOWEL = re.compile(r"[aeiouyAEIOUY]|^[A-Z]+$")     # words have vowels, acronyms need none
+NAME_HUMP = 3           # letters a hump of a name has on the mean; those of a key have two or so
 _CHANGE = re.compile(r"(?<=[0-9])[A-Za-z]|(?<=[A-Za-z])[0-9]")
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
@@ -60,10 +64,21 @@ def entropy(value: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values())
 
 
+def is_name(part: str) -> bool:
+    """Words joined by case with short numbers between, as identifiers are."""
+    humps = _HUMP.findall(part)
+    letters = [h for h in humps if not h[0].isdigit()]
+    return (bool(letters) and sum(map(len, letters)) >= NAME_HUMP * len(letters)
+            and sum(len(h) < 2 for h in letters) * 8 <= len(letters)
+            and not any(len(h) > 1 and not _VOWEL.search(h) for h in letters)
+            and len(humps) - len(letters) <= len(letters)
+            and all(len(h) <= 4 for h in humps if h[0].isdigit()))
+
+
 def is_random(value: str) -> bool:
     """Whether a mixed token looks like a key rather than a path, slug or word."""
     parts = _PART.findall(value)
-    odd = [p for p in parts if not _WORD.fullmatch(p)]
+    odd = [p for p in parts if not _WORD.fullmatch(p) and not is_name(p)]
     joined = "".join(odd)
     if 2 * len(joined) < sum(map(len, parts)) or not any(c.isdigit() for c in joined) \
             or entropy(value) < MIN_ENTROPY:
@@ -87,9 +102,12 @@ def candidates(text: str | None):
     """Base spans, and the random mixed tokens that touch none of them."""
     text = text or ""
     base = base_spans(text)
-    extra = [(m.start(), 3, m.end(), m[0]) for m in MIXED.finditer(text)
-             if not any(s < m.end() and m.start() < e for s, _, e, _ in base)
-             and is_random(m[0])]
+    extra, at, reach = [], 0, 0
+    for m in MIXED.finditer(text):      # both lists are in order: reach is the end of the base spans before m's
+        while at < len(base) and base[at][0] < m.end():
+            reach, at = max(reach, base[at][2]), at + 1
+        if reach <= m.start() and is_random(m[0]):
+            extra.append((m.start(), 3, m.end(), m[0]))
     return base, extra
 
 
