@@ -70,7 +70,7 @@ def is_name(part: str) -> bool:
     letters = [h for h in humps if not h[0].isdigit()]
     return (bool(letters) and sum(map(len, letters)) >= NAME_HUMP * len(letters)
             and sum(len(h) < 2 for h in letters) * 8 <= len(letters)
-            and not any(len(h) > 1 and not _VOWEL.search(h) for h in letters)
+            and sum(len(h) > 1 and not _VOWEL.search(h) for h in letters) * 4 <= len(letters)
             and len(humps) - len(letters) <= len(letters)
             and all(len(h) <= 4 for h in humps if h[0].isdigit()))
 
