@@ -9,7 +9,10 @@ from propensity.operators import features, profile, sampling
 from propensity.sources.fixture import prospects
 from conftest import SF001
 
-FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
+FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
+             "MapInPandas", "FlatMapGroupsInPandas")
+#: Operators that reduce Arrow batches with numpy by design; all others stay in the JVM.
+ON_ARROW = {"corr"}
 
 
 def final_plan(df):
@@ -57,6 +60,7 @@ def test_operator_plans(spark, base, name):
     plan = final_plan(build())
     for f in FORBIDDEN:
         assert f not in plan, f"{name}: {f}"
+    assert ("MapInArrow" in plan) == (name in ON_ARROW), name
     assert not single_partition_inputs(plan), name
 
 
@@ -72,3 +76,24 @@ def test_fixture_join_not_hinted(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def written_bytes(spark, build) -> int:
+    """Bytes that an operator leaves under the scratch folder."""
+    import os
+    from propensity.session import scratch_path
+    root = scratch_path(spark, "").replace("file:", "")
+    size = lambda: sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(root) for f in fs)
+    before = size()
+    build().write.format("noop").mode("overwrite").save()
+    return size() - before
+
+
+def test_box_and_poisson_write_no_rows(spark):
+    import os
+    from propensity.operators.sampling import materialize
+    rows = materialize(spark.range(0, 1_000_000, numPartitions=4).selectExpr(
+        "id", "cast(id % 10 = 0 as int) as Response", "cast(xxhash64(id) % 100000 as double) / 7 as x"), "plan-rows")
+    data = sum(os.path.getsize(f.removeprefix("file://")) for f in rows.inputFiles())
+    assert written_bytes(spark, lambda: profile.box_by(rows, "x")) < data / 8
+    assert written_bytes(spark, lambda: sampling.rebalance_poisson(rows)) < data / 8
