@@ -14,12 +14,19 @@ number of times a shingle occurs), sum of minima over sum of maxima.
 2. Equal windows are merged, so a passage that very many documents share is
    examined once.  Each distinct window and each item gets a 64-bit SimHash of
    its shingle weights.
-3. An item is looked up under its rarest shingles only, one more than a match may
-   lack: every match shares one of them, and a shingle that many items hold
-   pairs nothing.  (Blocks of a fingerprint do not prune at this radius.)
+3. Candidates come from a multi-index over the fingerprints: ``BLOCKS`` blocks of
+   8 bits, an item entered under every block value within ``RADIUS // BLOCKS`` bits
+   of its own.  Two fingerprints within ``RADIUS`` differ in at most that many bits
+   of some block, so the lookup misses none of them.  Blocks alone pass most
+   pairs at this radius; the index is therefore kept per anchor shingle: an item is
+   entered under its rarest shingles, one more than a match may lack, and a window
+   asks under those it holds.  Every match shares one of them.
 4. Pairs whose fingerprints are within ``RADIUS`` bits are verified exactly.  The
    radius leaves 4.6 standard deviations over the expected distance at similarity 0.8.
 
+A window costs time in proportion to its shingles, so a passage of n words costs
+the square of n.
+
 Defined cases: NULL, empty or wordless texts and items match nothing; an item
 with a NULL id is an item like any other; of several texts under one id the best
 match is reported;
@@ -37,6 +44,7 @@ from propensity.llm.common import bounded_broadcast, row_fingerprint, staged
 SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 23
+BLOCKS, BLOCK_BITS = 8, 8
 
 
 def words(text) -> Column:
@@ -52,34 +60,66 @@ def shingles(tokens: str, size: int) -> Column:
 
 
 def with_simhash(sets: DataFrame, keys: list[str]) -> DataFrame:
-    """``sets(*keys, w, ...)`` plus ``fp``: bit b is set if more than half the hashes have it."""
-    bits = [F.sum(F.shiftright("h", b).bitwiseAND(F.lit(1))).alias(f"b{b}") for b in range(64)]
+    """(*keys, fp, set) of ``sets(*keys, w)``, one row a key.
+
+    Bit b of ``fp`` is set if more than half the hashes have it.  ``set`` is the
+    multiset as a set: each hash together with which occurrence it is."""
+    bits = [F.sum(F.col("c") * F.shiftright("h", b).bitwiseAND(F.lit(1))).alias(f"b{b}")
+            for b in range(64)]
     counted = (sets.select(*keys, F.explode("w").alias("h"))
-               .groupBy(*keys).agg(F.count("*").alias("n_"), *bits))
+               .groupBy(*keys, "h").agg(F.count("*").alias("c"))
+               .groupBy(*keys).agg(F.sum("c").alias("n_"), *bits,
+                                   F.collect_list(F.struct("h", "c")).alias("held")))  # one window's own
     fp = None
     for b in range(64):
         bit = F.shiftleft((2 * F.col(f"b{b}") > F.col("n_")).cast("long"), b)
         fp = bit if fp is None else fp.bitwiseOR(bit)
-    return sets.join(counted.select(*keys, fp.alias("fp")), keys)
+    return counted.select(*keys, fp.alias("fp"), F.expr(
+        "flatten(transform(held, x -> transform(sequence(1L, x.c), k -> xxhash64(x.h, k))))").alias("set"))
+
+
+def block(fp: str, number: int) -> Column:
+    """Value of one block of a fingerprint column."""
+    return F.shiftrightunsigned(fp, number * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
+
 
+def blocks_of(fp: str = "fp") -> Column:
+    return F.explode(F.array(*[F.struct(F.lit(i).alias("block"), block(fp, i).cast("int").alias("value"))
+                               for i in range(BLOCKS)])).alias("at")
 
-def as_set(w: str) -> Column:
-    """A multiset as a set: each hash together with which occurrence it is."""
-    return F.expr(f"transform({w}, (h, i) -> xxhash64(h, size(filter(slice({w}, 1, i), x -> x = h))))")
 
+def near_blocks(fp: str = "fp") -> Column:
+    """All (block, value) within ``RADIUS // BLOCKS`` bits of the fingerprint's own."""
+    flips = [x for x in range(1 << BLOCK_BITS) if x.bit_count() <= RADIUS // BLOCKS]
+    masks = F.array(*[F.lit(x) for x in flips])
 
-def sharing(prints: DataFrame, known: DataFrame) -> DataFrame:
-    """Distinct (n, cid, row) of windows and items that share one of the item's
-    ``n - need + 1`` rarest shingles; a pair without one shares fewer than ``need``."""
-    held = known.select("row", "n", "need", F.explode("set").alias("h"))
+    def entries(number):
+        return F.transform(masks, lambda m: F.struct(
+            F.lit(number).alias("block"),
+            block(fp, number).cast("int").bitwiseXOR(m).alias("value")))
+    return F.explode(F.flatten(F.array(*[entries(i) for i in range(BLOCKS)]))).alias("at")
+
+
+def rarest(known: DataFrame) -> DataFrame:
+    """(n, h, row, fp): the ``n - need + 1`` shingles of an item that fewest items hold."""
+    held = known.select("row", "n", "need", "fp", F.explode("set").alias("h"))
     counts = held.groupBy("n", "h").agg(F.count("*").alias("items"))
-    rarest = (held.join(counts, ["n", "h"]).groupBy("row", "n", "need")
-              .agg(F.sort_array(F.collect_list(F.struct("items", "h"))).alias("by"))  # one item's own
-              .select("row", "n", F.explode(F.expr("slice(by, 1, int(n - need + 1))")).alias("s"))
-              .select("row", "n", F.col("s.h").alias("h")))
-    rarest, _ = staged(rarest, "item-rarest")
-    return (prints.select("n", "cid", F.explode("set").alias("h"))
-            .join(bounded_broadcast(rarest), ["n", "h"]).select("n", "cid", "row").distinct())
+    return (held.join(counts, ["n", "h"]).groupBy("row", "n", "need", "fp")
+            .agg(F.sort_array(F.collect_list(F.struct("items", "h"))).alias("by"))  # one item's own
+            .select("row", "n", "fp", F.explode(F.expr("slice(by, 1, int(n - need + 1))")).alias("s"))
+            .select("n", F.col("s.h").alias("h"), "row", "fp"))
+
+
+def candidates(prints: DataFrame, known: DataFrame) -> DataFrame:
+    """Distinct (n, cid, row) of windows and items that meet in a block of their
+    fingerprints under a shared rare shingle: no pair within ``RADIUS`` bits
+    that shares ``need`` shingles is missed."""
+    anchors, _ = staged(rarest(known), "item-anchors")
+    asked = (prints.select("n", "cid", "fp", F.explode("set").alias("h"))
+             .join(bounded_broadcast(anchors.select("n", "h").distinct()), ["n", "h"]))
+    entries = anchors.select("n", "h", "row", near_blocks()).select("n", "h", "row", "at.*")
+    return (asked.select("n", "cid", "h", blocks_of()).select("n", "cid", "h", "at.*")
+            .join(entries, ["n", "h", "block", "value"]).select("n", "cid", "row").distinct())
 
 
 def items_of(bench: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
@@ -134,13 +174,9 @@ def _leaks_of_size(body: DataFrame, items: DataFrame, size: int) -> DataFrame:
         windows.select("uid", "a.start", "a.n", F.expr("slice(s, a.start + 1, a.n)").alias("w"))
         .withColumn("cid", F.xxhash64("w")), "windows")
     contents = occurrences.groupBy("n", "cid").agg(F.first("w").alias("w"))
-    prints, _ = staged(with_simhash(contents, ["n", "cid"]).withColumn("set", as_set("w"))
-                       .select("n", "cid", "fp", "set"), "window-prints")
-    known, _ = staged(with_simhash(items.select("item", "row", "n", "need", "w"), ["row", "n"])
-                      .withColumn("set", as_set("w"))
-                      .select("item", "row", "n", "need", "fp", "set"),
-                      "item-prints")
-    pairs = sharing(prints, known)
+    prints, _ = staged(with_simhash(contents, ["n", "cid"]), "window-prints")
+    known, _ = staged(with_simhash(items, ["item", "row", "n", "need"]), "item-prints")
+    pairs = candidates(prints, known)
     shared = F.size(F.array_intersect("set", "item_set"))
     verified = (pairs.join(prints, ["n", "cid"])
                 .join(known.select("item", "row", "n", F.col("fp").alias("item_fp"),

@@ -204,10 +204,9 @@ def test_candidates_share_a_rare_shingle(spark):
     opening = [word() for _ in range(20)]                       # common to all items
     bench = [(i, " ".join(opening + [word() for _ in range(30)])) for i in range(40)]
     items = decontam.items_of(spark.createDataFrame(bench, "item_id long, text string"))
-    known = (decontam.with_simhash(items, ["row", "n"]).withColumn("set", decontam.as_set("w"))
-             .select("row", "n", "need", "set"))
-    prints = known.select("n", F.col("row").alias("cid"), "set")
-    pairs = {(r.cid, r.row) for r in decontam.sharing(prints, known).collect()}
+    known = decontam.with_simhash(items, ["row", "n", "need"])
+    prints = known.select("n", F.col("row").alias("cid"), "fp", "set")
+    pairs = {(r.cid, r.row) for r in decontam.candidates(prints, known).collect()}
     assert len(pairs) == 40 and all(a == b for a, b in pairs)   # not 40 x 40
     docs = [(i, f"x {t} y") for i, t in bench]
     found = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"),
@@ -215,6 +214,59 @@ def test_candidates_share_a_rare_shingle(spark):
     assert {(r.uid.id, r.item) for r in found} == {(i, i) for i in range(40)}
 
 
+def test_block_index_misses_no_fingerprint_within_the_radius(spark):
+    rng = random.Random(14)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    base = [rng.getrandbits(64) for _ in range(20)]
+    rows = [(i, signed(f)) for i, f in enumerate(base)]
+    others = []
+    for i, f in enumerate(base):
+        for away in (0, 1, 8, 16, 22, 23):
+            spread = rng.sample(range(64), away)
+            others.append((i, away, signed(f ^ sum(1 << b for b in spread))))
+        # as even as it gets: 2 or 3 bits in every block
+        even = [b for k in range(8) for b in rng.sample(range(8 * k, 8 * k + 8), 3 if k < 7 else 2)]
+        others.append((i, 23, signed(f ^ sum(1 << b for b in even))))
+    index = (spark.createDataFrame(rows, "row int, fp long").select("row", decontam.near_blocks())
+             .select("row", "at.*"))
+    asked = (spark.createDataFrame(others, "like int, away int, fp long")
+             .select("like", "away", "fp", decontam.blocks_of()).select("like", "away", "fp", "at.*"))
+    met = {(r.like, r.away, r.fp) for r in asked.join(index, ["block", "value"])
+           .where("like = row").collect()}
+    assert met == set(others)
+    assert index.count() == 20 * 8 * 37
+
+
+def test_multiset_hashes_and_fingerprint_equal_a_plain_count(spark):
+    w = [5, 7, 5, -3, 5, 7, 1 << 62, -(1 << 63)]
+    row = decontam.with_simhash(spark.createDataFrame([(1, w)], "k int, w array<long>"), ["k"]).first()
+    assert len(set(row.set)) == len(w)
+    bits = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in w) > len(w))
+    assert row.fp == (bits - (1 << 64) if bits >> 63 else bits)
+
+
+def test_long_item_is_found(spark):
+    rng = random.Random(15)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(2000)]
+    changed = list(words)
+    for i in range(50, 2000, 60):
+        changed[i] = "other"
+    docs = spark.createDataFrame([(1, "a b " + " ".join(words) + " c"), (2, " ".join(changed)),
+                                  (3, " ".join(words[:1500]))], "doc_id long, text string")
+    items = spark.createDataFrame([(9, " ".join(words))], "item_id long, text string")
+    got = {r.uid.id: r.similarity for r in decontam.leaks(docs, items).collect()}
+    grams = lambda t: [tuple(t[i:i + 5]) for i in range(len(t) - 4)]
+    assert got == {1: 1.0, 2: pytest.approx(slow_similarity(grams(words), grams(changed)))}
+
+
+def test_broadcast_is_bound_by_bytes(spark):
+    from propensity.llm import common
+    wide = spark.range(9).select("id", F.expr("array_repeat(id, 1 << 20)").alias("a"),
+                                 F.expr("array(struct(cast(id as string) as s))").alias("b"))
+    assert "hint" not in common.bounded_broadcast(wide)._jdf.queryExecution().logical().toString().lower()
+    assert "hint" in common.bounded_broadcast(wide.limit(1))._jdf.queryExecution().logical().toString().lower()
+
+
 def test_leaks_run_natively_and_on_edges(spark):
     docs = edge_docs(spark)
     passage = docs.where("doc_id = 7").first().text
