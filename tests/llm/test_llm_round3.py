@@ -6,7 +6,7 @@ import time
 
 import numpy as np
 
-from propensity.llm import secrets, toxicity
+from propensity.llm import html_text, secrets, toxicity
 from test_llm_text import documents
 from pyspark.sql import functions as F
 
@@ -74,3 +74,30 @@ def test_identifiers_are_no_secrets():
         assert not secrets.is_random(name)
     for key in ("Zx9Qw3Er7Ty1Ui5Op8As2Df6Gh4", "aB3dE9fG2hJ7kL4mN8pQ1rS6tU5v", "k3j9d8f7s6h5g4m2n1b8v7c6x5z4"):
         assert secrets.is_random(key)
+
+
+# ------------------------------------------------------------------ html
+
+def test_unbalanced_markup_is_read_in_linear_time():
+    n = 100_000
+    for page in ("<i>" * n + "</u>" * n, "<li><ul>" + "<i>" * n + "<li>x</li>" * n,
+                 "<i>" * n + "<article>" + "</i>" * n + "x", "<div>" * n + "x" + "</div>" * n):
+        start = time.time()
+        html_text.parse(page)
+        assert time.time() - start < 30
+
+
+def test_articles_keep_formulas_fallbacks_and_unseen_parts():
+    page = ("<nav hidden>menu</nav><div hidden>gone</div><article>A<p>Sum <math><mi>x</mi><mo>+</mo></math></p>"
+            "<object data=f>fall back</object><p hidden>later</p><p style='display:none'>folded</p>"
+            "<script>x()</script><div class=ad>buy</div></article>")
+    kept = "\n".join(t for t, kind in html_text.parse(page) if kind == html_text.KEEP)
+    assert kept == "A\nSum x+\nfall back\nlater\nfolded"
+
+
+def test_end_tags_close_the_nearest_element_of_their_name():
+    def kept(page):
+        return [t for t, kind in html_text.parse(page) if kind == html_text.KEEP]
+    assert kept("<article><p>a<b>b</article><p>c") == ["ab"]
+    assert kept("<i><article>a</i>b<p>c</article>d") == ["ab", "c"]      # not beyond the article
+    assert kept("<article><li>a<li>b<ul><li>c</ul>d</article>") == ["a", "b", "c", "d"]
