@@ -3,10 +3,12 @@
 import math
 import random
 import time
+from collections import Counter
 
 import numpy as np
+import pytest
 
-from propensity.llm import html_text, secrets, toxicity
+from propensity.llm import html_text, pieces, secrets, toxicity
 from test_llm_text import documents
 from pyspark.sql import functions as F
 
@@ -101,3 +103,76 @@ def test_end_tags_close_the_nearest_element_of_their_name():
     assert kept("<article><p>a<b>b</article><p>c") == ["ab"]
     assert kept("<i><article>a</i>b<p>c</article>d") == ["ab", "c"]      # not beyond the article
     assert kept("<article><li>a<li>b<ul><li>c</ul>d</article>") == ["a", "b", "c", "d"]
+
+
+# ------------------------------------------------------- SentencePiece blocks
+
+@pytest.fixture(scope="module")
+def piece_table():
+    return pieces.PieceTable(pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model"))
+
+
+def plain_cut(text, pairs):
+    out = [text[0]]
+    for left, right in zip(text, text[1:]):
+        if left + right in pairs:
+            out[-1] += right
+        else:
+            out.append(right)
+    return out
+
+
+TEXTS = ["stop the pots", " ", "a  b ", "tops\nspot\topts", "日本 ελ \U0001f600", "x" * 3000, "zq9" * 50, "post"]
+
+
+@pytest.mark.parametrize("cells", [1 << 26, 0])
+def test_block_cutter_equals_a_plain_cut(piece_table, monkeypatch, cells):
+    monkeypatch.setattr(pieces, "_CELLS", cells)
+    whole, points, first, b, e, h = pieces._Cutter(piece_table.pairs)(TEXTS)
+    found = [whole[i:j] for i, j in zip(b, e)]
+    assert found == [s for t in TEXTS for s in plain_cut(" " + t, piece_table.pairs)]
+    assert [whole[i] for i in first] == [" "] * len(TEXTS)
+    by_hash = {}
+    for segment, key in zip(found, h.tolist()):
+        assert by_hash.setdefault(key, segment) == segment
+    assert len(by_hash) == len(set(found))
+    at, n = pieces._distinct(points, b, e, h)
+    assert dict(zip([found[i] for i in at], n.tolist())) == Counter(found)
+
+
+def test_lookup_places():
+    rng = np.random.default_rng(4)
+    hashes = np.unique(np.concatenate([rng.integers(0, 1 << 63, 500, dtype=np.uint64),
+                                       np.arange(40, dtype=np.uint64)]))      # many in one bucket
+    offsets = np.arange(len(hashes) + 1, dtype=np.uint32)
+    lookup = pieces._Lookup(hashes, offsets, np.zeros(len(hashes), np.uint16))
+    wanted = np.concatenate([hashes[::-1], hashes + np.uint64(1)])
+    known = {int(v): i for i, v in enumerate(hashes)}
+    assert lookup.places(wanted).tolist() == [known.get(int(v), -1) for v in wanted]
+    none = pieces._Lookup(hashes[:0], offsets[:1], np.zeros(0, np.uint16))
+    assert none.places(wanted).tolist() == [-1] * len(wanted)
+
+
+def test_unusable_pieces_have_a_better_path(piece_table):
+    usable = {text for text, _, _ in piece_table.usable}
+    known = {text: score for text, _, score in piece_table.rows}
+
+    def best(text):
+        if not text:
+            return 0.0
+        return max((known.get(text[:k], piece_table.unknown) + best(text[k:])
+                    for k in range(1, len(text) + 1) if k == 1 or text[:k] in known))
+
+    for text, _, score in random.Random(6).sample([r for r in piece_table.rows if len(r[0]) <= 8], 1500):
+        assert (best(text) > score) == (text not in usable)
+
+
+def test_segments_that_share_a_hash_stay_exact(spark, monkeypatch):
+    model = pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    plain = {r.key: r.ids for r in pieces.encode(docs, model, F.col("doc_id")).collect()}
+    monkeypatch.setattr(pieces, "_ROOT", 1)                  # the hash of all anagrams is one
+    same = {r.key: r.ids for r in pieces.encode(docs, model, F.col("doc_id")).collect()}
+    assert same == plain
+    digests = pieces.encode_digest(docs, model, F.col("doc_id"), keep_ids=True).collect()
+    assert all(r.round_trip and r.ids == plain[r.key] for r in digests)
