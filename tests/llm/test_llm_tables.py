@@ -242,6 +242,31 @@ def test_host_templates_leave_articles_and_copies_stay(spark):
     assert got[100] == "\n".join(own[0])
 
 
+def test_template_runs_of_several_blocks_leave_articles_and_near_copies_stay(spark):
+    words = lambda seed, n: " ".join(
+        "".join(random.Random(f"{seed}{i}").choices("abcdefgh", k=6)) for i in range(n))
+    page = lambda blocks: "<article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article>"
+    three = [words(f"t{i}", 12) for i in range(3)]              # the middle one has the same neighbours
+    three = [words("s0", 4), *three, words("s1", 4)]            # short ones leave with long neighbours
+    title = words("title", 8)
+    own = {i: [title, title, words(f"{i}a", 30), *three, words(f"{i}b", 30)] for i in range(6)}
+    own[6] = [words("6a", 20), f"{three[1]} {words('6c', 3)}", words("6b", 20)]     # covered in part
+    copied = [words(f"c{i}", 15) for i in range(6)]
+    own |= {10 + i: [*copied[:i], words(f"n{i}", 15), *copied[i + 1:]] for i in range(6)}
+    rows = [(i, f"http://h{i // 10}.example/{i}", page(b)) for i, b in own.items()]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text.split("\n") for r in html_text.extract(pages).collect()}
+    for i, blocks in own.items():
+        assert got[i] == [b for b in blocks if b not in three], i
+    tokens = [b.split(" ") for b in ("a b c", "d", "e f g h")]
+    assert html_text.leaving_blocks([["a", "b"], ["a", "b"], ["c"]], {0, 1}, run=3) == set()
+    assert html_text.leaving_blocks(tokens, {0, 1, 4}, run=3) == {0, 1}
+    assert html_text.leaving_blocks(tokens, {4, 5}, run=3) == {2}
+    assert html_text.leaving_blocks(tokens, {0, 1, 2, 3}, run=3) == {0, 1}      # the rest of the third stays
+    assert html_text.leaving_blocks(tokens, {0, 2, 5}, run=3) == {0, 1, 2}
+    assert html_text.leaving_blocks(tokens, {1, 2, 3}, run=3) == set()
+
+
 def slow_covered(streams, run):
     """Positions that a substring of ``run`` tokens shared by two pages covers."""
     seen = {}
