@@ -140,10 +140,14 @@ def q_region_opportunity(spark, sf_dir):
 
 @register("region_view", O.with_prepared(O.REGION_AGG))
 def q_region_view(spark, sf_dir):
-    """The region roll-up published as a view and read through SQL."""
+    """The region roll-up published as a view and read through SQL; the returned
+    frame holds the view's plan, so its name does not stay in the session."""
     view = f"region_rollup_{uuid.uuid4().hex[:8]}"
     tables.create_view(regions(spark, sf_dir), view)
-    return spark.sql(f"SELECT * FROM {view}")
+    try:
+        return spark.sql(f"SELECT * FROM {view}")
+    finally:
+        tables.drop_view(spark, view)
 
 
 @register("regions_ranked", O.with_prepared(O.REGIONS_RANKED))
