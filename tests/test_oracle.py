@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF001
 
-TABLES = ["orders", "customer", "labels"]
+TABLES = ["orders", "customer", "labels", "documents", "embeddings"]
 SQL = E.oracle_sql()
 
 
